@@ -24,7 +24,13 @@ def stage_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def run_batch(
-    spark: SparkSession, raw: dict[str, DataFrame], as_of, schema: str = "", start_date=None, end_date=None
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    as_of,
+    schema: str = "",
+    start_date=None,
+    end_date=None,
+    external: bool = False,
 ) -> DataFrame:
     """Run all steps in order against stored tables and return the test report.
 
@@ -32,12 +38,13 @@ def run_batch(
     (``"mart_db."``). A failing test of severity error does not stop the run; it
     is in the report.
     """
-    stored = {name: materialize_table(df, schema + name) for name, df in stage_tables(raw).items()}
-    history = run_snapshot(spark, schema + HISTORY, risk_flagging(stored["stg_risk_feed"]), RISK_RULES, as_of)
+    stored = {name: materialize_table(df, schema + name, external=external) for name, df in stage_tables(raw).items()}
+    flagged = risk_flagging(stored["stg_risk_feed"])
+    history = run_snapshot(spark, schema + HISTORY, flagged, RISK_RULES, as_of, external)
     mart = unified_payment_intelligence(
         stored["stg_payments"], stored["stg_accounts"], history, stored["stg_fraud_cases"], start_date, end_date
     )
-    stored[MART] = materialize_table(mart, schema + MART)
+    stored[MART] = materialize_table(mart, schema + MART, external=external)
     return run_suite(stored, declared_tests())
 
 

@@ -8,16 +8,20 @@ from tidemark.operators import history, incremental
 from tidemark.session import fresh_folder
 
 
-def materialize_table(df: DataFrame, table: str, partition_by=()) -> DataFrame:
+def materialize_table(df: DataFrame, table: str, partition_by=(), external: bool = False) -> DataFrame:
     """Build the result beside the table and swap it in.
 
     The query may read the table it replaces; a failed build leaves it untouched.
+    An external table has its files in a new folder below the shared one, else
+    they are in the warehouse.
     """
     spark = df.sparkSession
     aside, backup = f"{table}__next", f"{table}__old"
     spark.sql(f"drop table if exists {aside}")
     spark.sql(f"drop table if exists {backup}")
     writer = df.write.mode("overwrite")
+    if external:
+        writer = writer.option("path", fresh_folder(spark, "table"))
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(aside)
     if spark.catalog.tableExists(table):
         spark.sql(f"alter table {table} rename to {backup}")
@@ -46,11 +50,13 @@ def staged(spark: SparkSession, purpose: str) -> Callable[[DataFrame], DataFrame
     return store
 
 
-def run_snapshot(spark: SparkSession, table: str, source: DataFrame, rules: history.HistoryRules, as_of) -> DataFrame:
+def run_snapshot(
+    spark: SparkSession, table: str, source: DataFrame, rules: history.HistoryRules, as_of, external: bool = False
+) -> DataFrame:
     """One snapshot run against a stored history table."""
     target = spark.table(table) if spark.catalog.tableExists(table) else None
     result = history.snapshot(target, source, rules, as_of, stage=staged(spark, "changes"))
-    return materialize_table(result, table)
+    return materialize_table(result, table, external=external)
 
 
 def run_incremental(
@@ -61,6 +67,7 @@ def run_incremental(
     unique_key=None,
     on_schema_change: str = "ignore",
     full_refresh: bool = False,
+    external: bool = False,
     **options,
 ) -> DataFrame:
     """Incremental table: the first run and a full refresh create it, later runs apply the strategy.
@@ -68,7 +75,7 @@ def run_incremental(
     ``build`` gets the current table, or None when it builds from scratch.
     """
     if full_refresh or not spark.catalog.tableExists(table):
-        return materialize_table(build(None), table)
+        return materialize_table(build(None), table, external=external)
     current = spark.table(table)
     batch = build(current)
     target, columns = incremental.reconcile_schema(current, batch, on_schema_change)
@@ -79,7 +86,7 @@ def run_incremental(
         kept.select(*current.columns).write.mode("append").insertInto(table)
         return spark.table(table)
     result = incremental.apply_strategy(target, staged(spark, "batch")(batch), strategy, unique_key, columns, **options)
-    return materialize_table(result, table)
+    return materialize_table(result, table, external=external)
 
 
 def replace_partitions(df: DataFrame, table: str) -> DataFrame:

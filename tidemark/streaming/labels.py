@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.relational import deduplicate
 from tidemark.streaming.layers import _trigger, append_micro_batch
 
 MATCHED, TIMED_OUT, LATE = "matched", "timed_out", "late_label"
@@ -126,12 +125,19 @@ def start_label_matching(
 
 
 def reconcile_batch(payments: DataFrame, labels: DataFrame, timeout: str) -> DataFrame:
-    """The result a finished stream must have, from tables. The earliest label in time counts."""
-    joined = payments.join(_label_side(labels), _in_time(timeout), "left")
-    first = deduplicate(
-        joined, ["payment_id", "timestamp"], [F.col("label_ts").asc_nulls_last(), F.col("fraud_type").asc_nulls_last()]
+    """The result a finished stream must have, from tables. The earliest label in time counts.
+
+    Labels meet payments in an inner join, where a skewed id can be split on
+    either side, and shrink to one per payment before they are joined back.
+    """
+    keys = payments.select("payment_id", "timestamp")
+    earliest = F.min(F.struct("label_ts", "fraud_type", "fraud_reported_date")).alias("_label")
+    matched = _label_side(labels).join(keys, _in_time(timeout)).groupBy("payment_id", "timestamp").agg(earliest)
+    matched = matched.select(
+        F.col("payment_id").alias("_label_payment"), F.col("timestamp").alias("_label_at"), "_label.*"
     )
-    return _final_records(first, payments.columns)
+    same = (F.col("payment_id") == F.col("_label_payment")) & (F.col("timestamp") == F.col("_label_at"))
+    return _final_records(payments.join(matched, same, "left"), payments.columns)
 
 
 def late_labels(payments: DataFrame, labels: DataFrame, timeout: str) -> DataFrame:
