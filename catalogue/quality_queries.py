@@ -6,6 +6,7 @@ from catalogue.registry import query
 from tidemark.operators import quality as Q
 from tidemark.operators import reporting as P
 from tidemark.plans import checks, staging
+from tidemark.session import staged
 
 
 @query("test_unique", "select source_account_id as unique_field, count(*) as n_records from payments group by 1 having count(*) > 1", "payments")
@@ -318,7 +319,7 @@ _SUITE = [
 )
 def test_suite(v):
     tables = {
-        checks.MART: v.mart(),
+        checks.MART: staged(v.spark, "mart")(v.mart()),
         "stg_payments": staging.stg_payments(v.payments),
         "stg_accounts": staging.stg_accounts(v.accounts),
         "stg_risk_feed": staging.stg_risk_feed(v.risk_feed_v2),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import risk, staging
 from tidemark.plans.mart import unified_payment_intelligence
+from tidemark.session import staged
 
 # Times of the three loads of the risk feed.
 LOADS = ("1995-01-01 00:00:00", "1997-01-01 00:00:00", "1999-01-01 00:00:00")
@@ -101,7 +102,9 @@ class Views:
 
     @cached_property
     def account_risk_snapshot(self):
-        return risk.fold_snapshots(self.loads)
+        """Kept as a written table, as the snapshot job leaves it."""
+        store = staged(self.spark, "history")
+        return store(risk.fold_snapshots(self.loads, store))
 
     @cached_property
     def stg_fraud_cases(self):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.names import END_OF_TIME
 from tidemark.operators.skew import BROADCAST_KEYS, MAX_BLOCKS, as_number, block_of, quantile_bounds
+from tidemark.session import staged
 
 # A key with more versions than this is joined slice by slice.
 LONG_HISTORY = 64
@@ -63,6 +64,8 @@ def index_versions(
     levels = min(math.ceil(math.log2(found.longest / long_history)), int(math.log2(MAX_BLOCKS)))
     wanted = F.least(F.lit(levels), F.ceil(F.log2(F.col("_n") / long_history)))
     long_keys = counted.select("_key", (F.lit(levels) - wanted).cast("int").alias("_shift"))
+    store = staged(history.sparkSession, "versions")
+    long_keys = store(long_keys)
     hinted = F.broadcast(long_keys) if found.keys <= BROADCAST_KEYS else long_keys
     number = as_number(F.col("_from"), versions.schema["_from"].dataType)
     long_versions = versions.join(hinted, "_key", "left_semi")
@@ -76,7 +79,7 @@ def index_versions(
         F.sequence(_shifted(low), F.greatest(_shifted(low), _shifted(high)))
     )
     sliced = marked.withColumn("_slice", F.explode(slices)).drop("_shift")
-    return VersionIndex(sliced, long_keys, found.keys, tuple(bounds))
+    return VersionIndex(store(sliced), long_keys, found.keys, tuple(bounds))
 
 
 def _shifted(block):

@@ -103,8 +103,9 @@ def not_constant(df: DataFrame, column: str, group_by=()) -> DataFrame:
 
 
 def not_null_proportion(df: DataFrame, column: str, at_least, at_most=1, group_by=()) -> DataFrame:
-    share = F.count(column).cast(NUMERIC) / F.count("*").cast(NUMERIC)
-    found = df.groupBy(*group_by).agg(share.cast("double").alias("not_null_proportion"))
+    """Groups (or the table) whose share of non-null values is outside the limits."""
+    share = F.count(column).cast("double") / F.count("*").cast("double")
+    found = df.groupBy(*group_by).agg(share.alias("not_null_proportion"))
     value = F.col("not_null_proportion")
     return found.filter((value < F.lit(at_least).cast("double")) | (value > F.lit(at_most).cast("double")))
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.skew import replicate
+
 
 def run_test(
     failing: DataFrame,
@@ -216,5 +218,4 @@ def fixture_difference(actual: DataFrame, expected: DataFrame) -> DataFrame:
     surplus = F.sum(F.when(F.col("actual_or_expected") == "actual", 1).otherwise(-1))
     counted = both.groupBy(*columns).agg(surplus.alias("_surplus")).filter("_surplus != 0")
     tag = F.when(F.col("_surplus") > 0, "actual").otherwise("expected").alias("actual_or_expected")
-    copies = F.sequence(F.lit(1), F.abs("_surplus"))
-    return counted.select(*columns, tag, F.explode(copies).alias("_copy")).drop("_copy")
+    return replicate(counted.select(*columns, tag, F.abs("_surplus").alias("_copies")), "_copies")

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import staged
+
 # A group over this many rows is cut into blocks.
 HOT_ROWS = 2_000_000
 # Most blocks one cut makes; the bounds travel inside the plan, so this bounds their size.
@@ -67,13 +69,6 @@ def block_of(number: Column, bounds: list[float]) -> Column:
     return F.when(number.isNull(), len(bounds) + 1).otherwise(inside)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def replicate(df: DataFrame, copies: str) -> DataFrame:
     """Each row as often as column ``copies`` says, the copies spread over tasks."""
     chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(1), F.ceil(F.col(copies) / COPY_CHUNK))))
@@ -106,6 +101,7 @@ def adjacent_values(
 
     hot_groups = counted.select(*[F.col(g).alias(f"_hot_{g}") for g in groups])
     if groups:
+        hot_groups = staged(df.sparkSession, "hot-groups")(hot_groups)
         match = F.lit(True)
         for g in groups:
             match = match & F.col(g).eqNullSafe(F.col(f"_hot_{g}"))

@@ -3,9 +3,11 @@
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Skewed sort-merge joins are split at run
 # time; the force flag keeps the split even where it costs one more exchange,
@@ -15,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rank filters shrink groups below the shuffle up to this limit.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -48,12 +52,28 @@ def shared_folder(spark: SparkSession) -> str:
     All executors see it. Only where the setting is missing (tests on one
     machine) a temporary folder takes its place.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _folder_of_this_machine()
+
+
+@cache
+def _folder_of_this_machine() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def staged(spark: SparkSession, purpose: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that writes a result to the shared folder and reads it back.
+
+    It cuts the lineage of steps that are read more than once; the files outlive
+    lost executors.
+    """
+
+    def store(df: DataFrame) -> DataFrame:
+        path = fresh_folder(spark, purpose)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return store

@@ -46,9 +46,14 @@ def parse_payment_events(messages: DataFrame, schema: T.StructType = PAYMENT_EVE
     return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """Events as messages with a JSON ``value``, timestamps in ISO form with ``Z``."""
-    return events.select(F.to_json(F.struct(*events.columns), {"timestampFormat": _ISO_UTC}).alias("value"))
+# Fixed value: text form of event times.
+_ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-_ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+def to_messages(events: DataFrame) -> DataFrame:
+    """Events as messages with a JSON ``value``, timestamps in ISO form with ``Z``."""
+    zoned = [
+        F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
+        for f in events.schema
+    ]
+    return events.select(F.to_json(F.struct(*zoned), {"timestampFormat": _ISO_UTC}).alias("value"))

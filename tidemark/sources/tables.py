@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import history, incremental
-from tidemark.session import fresh_folder
+from tidemark.session import fresh_folder, staged
 
 
 def materialize_table(df: DataFrame, table: str, partition_by=(), external: bool = False) -> DataFrame:
@@ -35,21 +35,6 @@ def refresh_materialized(spark: SparkSession, build: Callable[[], DataFrame], ta
     return materialize_table(build(), table)
 
 
-def staged(spark: SparkSession, purpose: str) -> Callable[[DataFrame], DataFrame]:
-    """A function that writes a result to the shared folder and reads it back.
-
-    It cuts the lineage of steps that are read more than once; the files outlive
-    lost executors.
-    """
-
-    def store(df: DataFrame) -> DataFrame:
-        path = fresh_folder(spark, purpose)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return store
-
-
 def run_snapshot(
     spark: SparkSession, table: str, source: DataFrame, rules: history.HistoryRules, as_of, external: bool = False
 ) -> DataFrame:
