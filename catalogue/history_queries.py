@@ -10,6 +10,7 @@ from tidemark.operators import history as H
 from tidemark.operators.relational import deduplicate
 from tidemark.plans import batch, mart, risk, staging
 from tidemark.plans.risk import RISK_RULES
+from tidemark.session import shared_folder
 
 
 @query("stg_payments", "select payment_id, source_account_id, destination_account_id, payment_reference, amount, payment_timestamp from payments", "payments")
@@ -135,7 +136,7 @@ def batch_run(v):
         "raw_fraud_cases": v.fraud_cases,
     }
     prefix = f"tm_{uuid.uuid4().hex}_"
-    batch.run_batch(v.spark, raw, "1990-01-01 00:00:00", prefix, external=True)
+    batch.run_batch(v.spark, raw, "1990-01-01 00:00:00", prefix, folder=shared_folder(v.spark))
     return v.spark.table(prefix + batch.MART)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import query
 from tidemark.operators import incremental as I
+from tidemark.session import shared_folder
 from tidemark.sources.tables import run_incremental
 
 _COLS = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
@@ -102,5 +103,5 @@ def incr_driver(v):
         return _target(v) if current is None else _batch(v)
 
     for _ in range(2):
-        stored = run_incremental(v.spark, table, build, unique_key="o_orderkey", external=True)
+        stored = run_incremental(v.spark, table, build, unique_key="o_orderkey", folder=shared_folder(v.spark))
     return stored

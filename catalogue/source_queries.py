@@ -9,7 +9,7 @@ from catalogue.registry import query
 from tidemark import schemas
 from tidemark.operators import quality as Q
 from tidemark.operators.reporting import store_failures
-from tidemark.session import fresh_folder
+from tidemark.session import fresh_folder, shared_folder
 from tidemark.sources import events as E
 from tidemark.sources.files import consolidate_batch, load_csv_typed, load_seed
 from tidemark.sources.tables import materialize_table
@@ -93,7 +93,7 @@ def materialized(v):
     """Built twice, the second time from the table it replaces."""
     table = f"tm_{uuid.uuid4().hex}"
     first = v.orders.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.max("o_orderdate").alias("newest"))
-    return materialize_table(materialize_table(first, table, external=True).select("*"), table, external=True)
+    return materialize_table(materialize_table(first, table, folder=shared_folder(v.spark)).select("*"), table, folder=shared_folder(v.spark))
 
 
 @query("store_failures", "select o_orderkey, o_totalprice from orders where not (o_totalprice > 100000)")

@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -32,3 +33,17 @@ def rows(df):
 @pytest.fixture
 def frame(spark):
     return lambda data, schema: spark.createDataFrame(data, schema)
+
+
+def struct(text):
+    """Schema from ``name type, ...`` without a session."""
+    kinds = {
+        "string": T.StringType(),
+        "int": T.IntegerType(),
+        "long": T.LongType(),
+        "double": T.DoubleType(),
+        "boolean": T.BooleanType(),
+        "date": T.DateType(),
+        "timestamp": T.TimestampType(),
+    }
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (f.split() for f in text.split(","))])

@@ -30,7 +30,7 @@ def run_batch(
     schema: str = "",
     start_date=None,
     end_date=None,
-    external: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
     """Run all steps in order against stored tables and return the test report.
 
@@ -38,13 +38,13 @@ def run_batch(
     (``"mart_db."``). A failing test of severity error does not stop the run; it
     is in the report.
     """
-    stored = {name: materialize_table(df, schema + name, external=external) for name, df in stage_tables(raw).items()}
+    stored = {name: materialize_table(df, schema + name, folder=folder) for name, df in stage_tables(raw).items()}
     flagged = risk_flagging(stored["stg_risk_feed"])
-    history = run_snapshot(spark, schema + HISTORY, flagged, RISK_RULES, as_of, external)
+    history = run_snapshot(spark, schema + HISTORY, flagged, RISK_RULES, as_of, folder)
     mart = unified_payment_intelligence(
         stored["stg_payments"], stored["stg_accounts"], history, stored["stg_fraud_cases"], start_date, end_date
     )
-    stored[MART] = materialize_table(mart, schema + MART, external=external)
+    stored[MART] = materialize_table(mart, schema + MART, folder=folder)
     return run_suite(stored, declared_tests())
 
 

@@ -1,28 +1,34 @@
 """Stored tables: build aside and swap in, incremental runs, materialized results."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import history, incremental
-from tidemark.session import fresh_folder, staged
+from tidemark.session import runtime_settings, staged
 
 
-def materialize_table(df: DataFrame, table: str, partition_by=(), external: bool = False) -> DataFrame:
+def materialize_table(df: DataFrame, table: str, partition_by=(), folder: str | None = None) -> DataFrame:
     """Build the result beside the table and swap it in.
 
     The query may read the table it replaces; a failed build leaves it untouched.
-    An external table has its files in a new folder below the shared one, else
-    they are in the warehouse.
+    With a ``folder`` every version has its own folder below it and only the name
+    moves; what replaced versions leave there is the caller's to clean. A
+    partitioned table always works so (below the warehouse by default), because
+    the partitions of a managed table would not follow its new name.
     """
     spark = df.sparkSession
     aside, backup = f"{table}__next", f"{table}__old"
     spark.sql(f"drop table if exists {aside}")
     spark.sql(f"drop table if exists {backup}")
     writer = df.write.mode("overwrite")
-    if external:
-        writer = writer.option("path", fresh_folder(spark, "table"))
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(aside)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+        folder = folder or spark.conf.get("spark.sql.warehouse.dir")
+    if folder:
+        writer = writer.option("path", f"{folder}/{table}-{uuid.uuid4().hex}")
+    writer.saveAsTable(aside)
     if spark.catalog.tableExists(table):
         spark.sql(f"alter table {table} rename to {backup}")
     spark.sql(f"alter table {aside} rename to {table}")
@@ -36,12 +42,12 @@ def refresh_materialized(spark: SparkSession, build: Callable[[], DataFrame], ta
 
 
 def run_snapshot(
-    spark: SparkSession, table: str, source: DataFrame, rules: history.HistoryRules, as_of, external: bool = False
+    spark: SparkSession, table: str, source: DataFrame, rules: history.HistoryRules, as_of, folder: str | None = None
 ) -> DataFrame:
     """One snapshot run against a stored history table."""
     target = spark.table(table) if spark.catalog.tableExists(table) else None
     result = history.snapshot(target, source, rules, as_of, stage=staged(spark, "changes"))
-    return materialize_table(result, table, external=external)
+    return materialize_table(result, table, folder=folder)
 
 
 def run_incremental(
@@ -52,7 +58,7 @@ def run_incremental(
     unique_key=None,
     on_schema_change: str = "ignore",
     full_refresh: bool = False,
-    external: bool = False,
+    folder: str | None = None,
     **options,
 ) -> DataFrame:
     """Incremental table: the first run and a full refresh create it, later runs apply the strategy.
@@ -60,7 +66,7 @@ def run_incremental(
     ``build`` gets the current table, or None when it builds from scratch.
     """
     if full_refresh or not spark.catalog.tableExists(table):
-        return materialize_table(build(None), table, external=external)
+        return materialize_table(build(None), table, folder=folder)
     current = spark.table(table)
     batch = build(current)
     target, columns = incremental.reconcile_schema(current, batch, on_schema_change)
@@ -71,12 +77,13 @@ def run_incremental(
         kept.select(*current.columns).write.mode("append").insertInto(table)
         return spark.table(table)
     result = incremental.apply_strategy(target, staged(spark, "batch")(batch), strategy, unique_key, columns, **options)
-    return materialize_table(result, table, external=external)
+    return materialize_table(result, table, folder=folder)
 
 
 def replace_partitions(df: DataFrame, table: str) -> DataFrame:
     """Overwrite only the partitions of a partitioned table that the rows fall in."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with runtime_settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        df.select(*columns).write.mode("overwrite").insertInto(table)
     return spark.table(table)
