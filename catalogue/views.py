@@ -21,18 +21,17 @@ def _id(prefix: str, number) -> Column:
 
 
 class Views:
-    """The tables of one folder; nothing is read before it is used."""
+    """The tables of one folder; a table is opened when it is first used."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.table(name)
+        opened = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = opened
+        return opened
 
     @cached_property
     def accounts(self):

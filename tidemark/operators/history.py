@@ -84,13 +84,15 @@ def _is_open(rules: HistoryRules) -> Column:
 def _new_version(source: DataFrame, rules: HistoryRules, as_of) -> DataFrame:
     """Source rows with the meta columns of a fresh open row."""
     stamp = _stamp(rules, as_of)
-    out = (
-        source.withColumn(rules.meta(N.SCD_ID), scd_id([*rules.keys, stamp]))
-        .withColumn(rules.meta(N.UPDATED_AT), stamp)
-        .withColumn(rules.meta(N.VALID_FROM), stamp)
-        .withColumn(rules.meta(N.VALID_TO), _open_until(rules))
-    )
-    return out.withColumn(rules.meta(N.IS_DELETED), F.lit("False")) if rules.flags_deletes else out
+    columns = {
+        rules.meta(N.SCD_ID): scd_id([*rules.keys, stamp]),
+        rules.meta(N.UPDATED_AT): stamp,
+        rules.meta(N.VALID_FROM): stamp,
+        rules.meta(N.VALID_TO): _open_until(rules),
+    }
+    if rules.flags_deletes:
+        columns[rules.meta(N.IS_DELETED)] = F.lit("False")
+    return source.withColumns(columns)
 
 
 def initial_history(source: DataFrame, rules: HistoryRules, as_of) -> DataFrame:
@@ -159,11 +161,13 @@ def stage_changes(target: DataFrame, source: DataFrame, rules: HistoryRules, as_
     kinds = F.when(matched, F.array(F.lit("insert"), F.lit("update"))).otherwise(F.array(F.lit("insert")))
     moved = joined.filter(~matched | changed).withColumn(N.CHANGE_TYPE, F.explode(kinds))
     closing = F.col(N.CHANGE_TYPE) == "update"
-    moved = moved.withColumn(
-        meta[N.VALID_TO], F.when(closing, F.col(meta[N.UPDATED_AT])).otherwise(F.col(meta[N.VALID_TO]))
-    ).withColumn(meta[N.SCD_ID], F.when(closing, old(meta[N.SCD_ID])).otherwise(F.col(meta[N.SCD_ID])))
+    columns = {
+        meta[N.VALID_TO]: F.when(closing, F.col(meta[N.UPDATED_AT])).otherwise(F.col(meta[N.VALID_TO])),
+        meta[N.SCD_ID]: F.when(closing, old(meta[N.SCD_ID])).otherwise(F.col(meta[N.SCD_ID])),
+    }
     if rules.flags_deletes:
-        moved = moved.withColumn(flag, F.when(closing, old(flag)).otherwise(F.col(flag)))
+        columns[flag] = F.when(closing, old(flag)).otherwise(F.col(flag))
+    moved = moved.withColumns(columns)
     keyless = fresh.filter(~has_key).withColumn(N.CHANGE_TYPE, F.lit("insert"))
     changes = moved.select(*out_columns).unionByName(keyless.select(*out_columns))
     if not rules.tracks_deletes:

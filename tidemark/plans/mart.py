@@ -92,6 +92,6 @@ def unified_payment_intelligence(
     for role in ("source", "destination"):
         facts = join_risk(join_account(facts, accounts, role), risk, role)
     facts = join_fraud_cases(facts, fraud_cases)
-    for role in ("source", "destination"):
-        facts = facts.withColumn(f"{role}_risk_flag", F.coalesce(f"{role}_risk_flag", F.lit(False)))
+    flags = [f"{role}_risk_flag" for role in ("source", "destination")]
+    facts = facts.withColumns({flag: F.coalesce(flag, F.lit(False)) for flag in flags})
     return facts.withColumnRenamed("payment_timestamp", "timestamp").select(*MART_COLUMNS)
