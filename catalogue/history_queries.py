@@ -123,8 +123,8 @@ def date_range_rebuild(v):
        from payments p
        left join accounts sa on p.source_account_id = sa.account_id
        left join accounts da on p.destination_account_id = da.account_id
-       left join risk_feed_v1 sr on p.source_account_id = sr.account_id
-       left join risk_feed_v1 dr on p.destination_account_id = dr.account_id
+       left join risk_feed_v1 sr on p.source_account_id = sr.account_id and p.payment_timestamp >= timestamp '1990-01-01'
+       left join risk_feed_v1 dr on p.destination_account_id = dr.account_id and p.payment_timestamp >= timestamp '1990-01-01'
        left join fraud_cases f on p.payment_id = f.payment_id""",
     "payments accounts risk_feed_v1 fraud_cases",
 )
@@ -215,7 +215,7 @@ def _accounts_at(v, until):
               union all
               select b.o_custkey, b.o_orderkey, b.last_order, cast(null as timestamp) from b left join a using (o_custkey)
               where a.o_custkey is null or a.last_order < b.last_order)
-       select o_custkey, o_orderkey, last_order, md5(cast(o_custkey as varchar) || '|' || cast(last_order as varchar)) as dbt_scd_id,
+       select o_custkey, o_orderkey, last_order, md5(coalesce(cast(o_custkey as varchar), '') || '|' || coalesce(cast(last_order as varchar), '')) as dbt_scd_id,
               last_order as dbt_updated_at, last_order as dbt_valid_from, dbt_valid_to from versions""",
 )
 def scd2_timestamp(v):

@@ -35,7 +35,7 @@ def incr_append(v):
 @query(
     "incr_delete_insert",
     _CTES
-    + """select * from target where not (o_custkey in (select o_custkey from batch) and o_orderdate >= timestamp '1998-01-01')
+    + """select * from target where (o_custkey in (select o_custkey from batch) and o_orderdate >= timestamp '1998-01-01') is not true
          union all select * from batch""",
 )
 def incr_delete_insert(v):
@@ -60,7 +60,7 @@ def incr_merge_columns(v):
 
 @query(
     "incr_insert_overwrite",
-    _CTES + "select * from target where not (o_orderdate >= timestamp '1999-07-01') union all select * from batch",
+    _CTES + "select * from target where (o_orderdate >= timestamp '1999-07-01') is not true union all select * from batch",
 )
 def incr_insert_overwrite(v):
     return I.insert_overwrite(_target(v), _batch(v), ["o_orderdate >= timestamp_ntz'1999-07-01'"])

@@ -9,7 +9,7 @@ from tidemark.plans import checks, staging
 from tidemark.session import staged
 
 
-@query("test_unique", "select source_account_id as unique_field, count(*) as n_records from payments group by 1 having count(*) > 1", "payments")
+@query("test_unique", "select source_account_id as unique_field, count(*) as n_records from payments where source_account_id is not null group by 1 having count(*) > 1", "payments")
 def test_unique(v):
     return Q.unique(v.payments, "source_account_id")
 
@@ -46,7 +46,7 @@ def test_relationships(v):
     "test_relationships_where",
     """select source_account_id as id, cast(null as varchar) as right_id from payments p
        left join (select account_id from risk_feed_v1 where risk_score > 60) r on p.source_account_id = r.account_id
-       where r.account_id is null and amount > 100000""",
+       where r.account_id is null and p.source_account_id is not null and amount > 100000""",
     "payments risk_feed_v1",
 )
 def test_relationships_where(v):
@@ -168,8 +168,8 @@ def test_expression_is_true(v):
 _RANGES = """select {part} lower_bound, upper_bound, next_lower_bound, is_last_record,
          coalesce(lower_bound < upper_bound, false) as lower_bound_less_than_upper_bound,
          coalesce(upper_bound {op} next_lower_bound, is_last_record, false) as upper_bound_{words}_next_lower_bound
-       from (select *, lead(lower_bound) over ({by} order by lower_bound, upper_bound) as next_lower_bound,
-                    row_number() over ({by} order by lower_bound desc, upper_bound desc) = 1 as is_last_record
+       from (select *, lead(lower_bound) over ({by} order by lower_bound nulls last, upper_bound nulls last) as next_lower_bound,
+                    row_number() over ({by} order by lower_bound nulls last, upper_bound nulls last) = count(*) over ({by}) as is_last_record
              from ({source}) s) w"""
 
 
@@ -291,7 +291,7 @@ _SUITE = [
     ("unified_payment_intelligence", "unique_payment_id", "error", "select count(*) from (select payment_id from mart group by 1 having count(*) > 1) t"),
     ("unified_payment_intelligence", "not_null_payment_id", "error", "select count(*) from mart where payment_id is null"),
     ("unified_payment_intelligence", "not_null_source_account_id", "error", "select count(*) from mart where source_account_id is null"),
-    ("unified_payment_intelligence", "relationships_source_account_id", "error", "select count(*) from mart anti join accounts on source_account_id = account_id"),
+    ("unified_payment_intelligence", "relationships_source_account_id", "error", "select count(*) from mart anti join accounts on source_account_id = account_id where source_account_id is not null"),
     ("unified_payment_intelligence", "accepted_values_is_fraud_flag", "warn", "select 0"),
     ("unified_payment_intelligence", "is_after_timestamp", "error", "select count(*) from mart where timestamp < source_opening_date"),
     ("unified_payment_intelligence", "not_null_source_risk_flag", "error", "select count(*) from mart where source_risk_flag is null"),

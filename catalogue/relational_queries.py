@@ -163,11 +163,11 @@ def deduplicate(v):
 
 @query(
     "listagg",
-    """select o_custkey, string_agg(o_orderpriority, ' | ' order by o_orderdate, o_orderkey) as priorities,
+    """select o_custkey, string_agg(o_orderpriority, ' | ' order by o_orderdate nulls last, o_orderkey) as priorities,
               (select coalesce(string_agg(p, ', ' order by rn), '') from (
                  select case when o_orderstatus = 'P' then null else o_orderstatus end as p,
-                        row_number() over (order by o_orderdate desc, o_orderkey) as rn
-                 from orders i where i.o_custkey = o.o_custkey) f where rn <= 3) as last_states
+                        row_number() over (order by o_orderdate desc nulls first, o_orderkey) as rn
+                 from orders i where i.o_custkey is not distinct from o.o_custkey) f where rn <= 3) as last_states
        from orders o group by o_custkey""",
 )
 def listagg(v):
@@ -179,10 +179,12 @@ def listagg(v):
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("state"),
     )
     full = orders.groupBy("o_custkey").agg(
-        R.listagg("o_orderpriority", " | ", "o_orderdate, o_orderkey").alias("priorities")
+        R.listagg("o_orderpriority", " | ", "o_orderdate asc nulls last, o_orderkey").alias("priorities")
     )
-    newest = [F.col("o_orderdate").desc(), F.col("o_orderkey")]
-    return full.join(R.listagg_first(orders, ["o_custkey"], "state", ", ", newest, 3, "last_states"), "o_custkey")
+    newest = [F.col("o_orderdate").desc_nulls_first(), F.col("o_orderkey")]
+    last = R.listagg_first(orders, ["o_custkey"], "state", ", ", newest, 3, "last_states")
+    last = last.withColumnRenamed("o_custkey", "_custkey")
+    return full.join(last, F.col("o_custkey").eqNullSafe(F.col("_custkey"))).drop("_custkey")
 
 
 @query(

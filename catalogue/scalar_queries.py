@@ -12,8 +12,8 @@ from tidemark.functions.sql_functions import create_sql_function
 @query(
     "surrogate_key",
     """select o_orderkey, md5(cast(o_orderkey as varchar) || '-' || coalesce(p, '_dbt_utils_surrogate_key_null_')
-                              || '-' || cast(cast(o_orderdate as date) as varchar)) as order_sk,
-              md5(coalesce(p, '') || '-' || cast(o_custkey as varchar)) as legacy_sk, md5(o_orderpriority) as text_md5
+                              || '-' || coalesce(cast(cast(o_orderdate as date) as varchar), '_dbt_utils_surrogate_key_null_')) as order_sk,
+              md5(coalesce(p, '') || '-' || coalesce(cast(o_custkey as varchar), '')) as legacy_sk, md5(o_orderpriority) as text_md5
        from (select *, nullif(o_orderstatus, 'P') as p from orders) t""",
 )
 def surrogate_key(v):

@@ -125,36 +125,36 @@ class Views:
 
 VIEW_SQL = {
     "accounts": """
-select concat('acc_', cast(c_custkey as string)) as account_id,
+select 'acc_' || cast(c_custkey as string) as account_id,
        date '1990-01-01' + cast(c_custkey % 1500 as int) as opening_date
 from customer""",
     "payments": """
-select concat('pay_', cast(o_orderkey as string)) as payment_id,
-       concat('acc_', cast(o_custkey as string)) as source_account_id,
-       concat('acc_', cast((o_custkey + 1 + o_orderkey % (n - 1)) % n as string)) as destination_account_id,
-       concat('ref_', cast(10000 + o_orderkey % 90000 as string)) as payment_reference,
+select 'pay_' || cast(o_orderkey as string) as payment_id,
+       'acc_' || cast(o_custkey as string) as source_account_id,
+       'acc_' || cast((o_custkey + 1 + o_orderkey % (n - 1)) % n as string) as destination_account_id,
+       'ref_' || cast(10000 + o_orderkey % 90000 as string) as payment_reference,
        o_totalprice as amount, o_orderdate as payment_timestamp
 from orders cross join (select count(*) as n from customer) c""",
     "risk_feed_v0": """
-select concat('acc_', cast(c_custkey as string)) as account_id,
+select 'acc_' || cast(c_custkey as string) as account_id,
        cast(50 + (c_custkey * 7) % 51 as double) as risk_score
 from customer where c_custkey % 5 = 0""",
     "risk_feed_v1": """
-select concat('acc_', cast(c_custkey as string)) as account_id,
+select 'acc_' || cast(c_custkey as string) as account_id,
        cast(50 + (c_custkey * 7 + case when c_custkey % 2 = 0 then 13 else 0 end) % 51 as double) as risk_score
 from customer where c_custkey % 5 = 0 or c_custkey % 10 = 1""",
     "risk_feed_v2": """
 select * from risk_feed_v1 where cast(substring(account_id, 5) as int) % 25 <> 0""",
     "fraud_cases": """
-select concat('pay_', cast(o_orderkey as string)) as payment_id, true as is_fraud,
+select 'pay_' || cast(o_orderkey as string) as payment_id, true as is_fraud,
        case o_orderkey % 3 when 0 then 'Money Mule' when 1 then 'APP Fraud' else 'Identity Theft' end as fraud_type,
        cast(o_orderdate as date) + cast(30 + o_orderkey % 61 as int) as fraud_reported_date
 from orders where o_orderkey % 20 = 0""",
     "payment_events": """
-select concat('txn_', cast(event_id as string)) as transaction_id, concat('user_', cast(user_id as string)) as user_id,
-       concat('User ', cast(user_id as string)) as user_name, value as amount,
+select 'txn_' || cast(event_id as string) as transaction_id, 'user_' || cast(user_id as string) as user_id,
+       'User ' || cast(user_id as string) as user_name, value as amount,
        case event_id % 3 when 0 then 'USD' when 1 then 'EUR' else 'GBP' end as currency,
-       concat('merchant_', cast(1 + event_id % 100 as string)) as merchant_id, ts as event_timestamp
+       'merchant_' || cast(1 + event_id % 100 as string) as merchant_id, ts as event_timestamp
 from events""",
     "feed": """
 select account_id, risk_score, timestamp '1995-01-01 00:00:00' as as_of from risk_feed_v0

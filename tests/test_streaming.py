@@ -106,6 +106,7 @@ PAYMENTS = [
     ("too_late", "a1", "a2", 3.0, at(2)),
     ("unlabeled", "a1", "nobody", 4.0, at(3)),
     ("early_label", "a2", "a1", 5.0, at(20)),
+    ("no_time", "a2", "a1", 6.0, None),
 ]
 LABELS = [
     ("in_time", "APP Fraud", date(2024, 5, 2), at(2)),
@@ -113,6 +114,8 @@ LABELS = [
     ("too_late", "APP Fraud", date(2024, 5, 2), at(6)),
     ("unknown", "APP Fraud", date(2024, 5, 2), at(3)),
     ("early_label", "APP Fraud", date(2024, 5, 2), at(19)),
+    ("no_label_time", "APP Fraud", date(2024, 5, 2), None),
+    ("no_time", "APP Fraud", date(2024, 5, 2), at(3)),
 ]
 WANT = {
     "in_time": (True, "APP Fraud", "matched"),
@@ -120,6 +123,7 @@ WANT = {
     "too_late": (False, None, "timed_out"),
     "unlabeled": (False, None, "timed_out"),
     "early_label": (False, None, "timed_out"),
+    "no_time": (False, None, "timed_out"),
 }
 
 
@@ -144,7 +148,7 @@ def test_reconcile_batch(frame):
     payments, labels = frame(PAYMENTS, PAYMENT), frame(LABELS, LABEL)
     assert outcome(L.reconcile_batch(payments, labels, "3 seconds")) == WANT
     late = {r.payment_id for r in L.late_labels(payments, labels, "3 seconds").collect()}
-    assert late == {"too_late", "unknown", "early_label"}
+    assert late == {"too_late", "unknown", "early_label", "no_label_time", "no_time"}
     second = frame(LABELS + [("in_time", "Later Label", date(2024, 5, 3), at(3))], LABEL)
     assert outcome(L.reconcile_batch(payments, second, "3 seconds")) == WANT
 
@@ -181,7 +185,7 @@ def test_stream_equals_batch(spark, frame, tmp_path, large_state):
     finals = found.filter("outcome <> 'late_label' and payment_id <> 'end'")
     assert outcome(finals) == WANT and finals.count() == len(WANT)
     late = [r.payment_id for r in found.filter("outcome = 'late_label'").collect()]
-    assert sorted(late) == ["early_label", "too_late", "unknown"]
+    assert sorted(late) == ["early_label", "no_label_time", "no_time", "too_late", "unknown"]
 
 
 def test_reference_data_is_loaded_for_every_batch(spark, frame, tmp_path):

@@ -80,12 +80,35 @@ def match_labels(payments: DataFrame, labels: DataFrame, timeout: str, delay: st
     side alone once the watermark rules out a partner. The first label of a
     payment to arrive counts. Both sides may be out of order by ``delay``.
     The last payments wait until the watermark moves on: later events, or a
-    closing event far ahead on both sides, release them.
+    closing event far ahead on both sides, release them. Rows without a time
+    cannot meet a partner and would wait for ever, so they pass beside the join.
     """
-    late_by = payments.withWatermark("timestamp", delay)
-    first_labels = labels.withWatermark("label_ts", delay).dropDuplicatesWithinWatermark(["payment_id"])
-    joined = late_by.join(_label_side(first_labels), _in_time(timeout), "full")
-    return _final_records(joined, payments.columns)
+    timed = payments.filter("timestamp is not null").withWatermark("timestamp", delay)
+    first_labels = (
+        labels.filter("label_ts is not null")
+        .withWatermark("label_ts", delay)
+        .dropDuplicatesWithinWatermark(["payment_id"])
+    )
+    joined = timed.join(_label_side(first_labels), _in_time(timeout), "full")
+    finals = _final_records(joined, payments.columns)
+    return finals.unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
+
+
+def _untimed_payments(payments: DataFrame) -> DataFrame:
+    rows = payments.filter("timestamp is null").withColumns(
+        {
+            "_label_payment": F.lit(None).cast("string"),
+            "fraud_type": F.lit(None).cast("string"),
+            "fraud_reported_date": F.lit(None).cast("date"),
+        }
+    )
+    return _final_records(rows, payments.columns)
+
+
+def _untimed_labels(labels: DataFrame, payments: DataFrame) -> DataFrame:
+    rows = _label_side(labels.filter("label_ts is null"))
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in payments.schema}
+    return _final_records(rows.withColumns(absent), payments.columns)
 
 
 def _final_records(joined: DataFrame, payment_columns) -> DataFrame:
