@@ -9,6 +9,7 @@ from tidemark import names as N
 from tidemark.operators import history as H
 from tidemark.operators.quality import mutually_exclusive_ranges
 from tidemark.plans import risk
+from tidemark.sources import tables
 
 T1, T2, T3, T4 = (datetime(2024, 1, d) for d in (1, 2, 3, 4))
 CHECK = H.HistoryRules(keys=("id",), check=("v",))
@@ -149,3 +150,28 @@ def test_risk_flagging(frame):
         ("b", 70.1, True, "High Risk"),
         ("c", None, None, "Low Risk"),
     ]
+
+
+def test_stored_history_leaves_closed_partitions_alone(spark, frame):
+    rules = H.HistoryRules(keys=("id",), check=("v",), hard_deletes="invalidate")
+    loads = [(T1, [(1, "a"), (2, "b")]), (T2, [(1, "A"), (2, "b")]), (T3, [(1, "A"), (2, "B")])]
+    expected, files = None, {}
+    for as_of, data in loads:
+        source = frame(data, "id int, v string")
+        expected = H.snapshot(expected, source, rules, as_of)
+        got = tables.run_snapshot(spark, "stored_history", source, rules, as_of)
+        assert versions(got) == versions(expected)
+        now = {r[tables.CLOSED_IN]: r.f for r in spark.table("stored_history").select(tables.CLOSED_IN, F.input_file_name().alias("f")).collect()}
+        assert all(now[p] == f for p, f in files.items() if p != tables.OPEN)
+        files = now
+    assert set(files) == {tables.OPEN, str(T2), str(T3)}
+    # The same run again, a new column, and a source that loses every key.
+    assert versions(tables.run_snapshot(spark, "stored_history", source, rules, T3)) == versions(expected)
+    # A second run of the same time that closes another row keeps the first one's rows.
+    source = frame([(1, "AA"), (2, "B")], "id int, v string")
+    expected = H.snapshot(expected, source, rules, T3)
+    assert versions(tables.run_snapshot(spark, "stored_history", source, rules, T3)) == versions(expected)
+    wider = frame([(1, "AA", 5), (2, "B", 6)], "id int, v string, w int")
+    assert versions(tables.run_snapshot(spark, "stored_history", wider, rules, T4)) == versions(expected)
+    gone = tables.run_snapshot(spark, "stored_history", wider.limit(0), rules, T4)
+    assert gone.filter(F.col(N.VALID_TO).isNull()).count() == 0 and gone.count() == 5

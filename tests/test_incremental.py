@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from conftest import rows, struct
 from tidemark.operators import incremental as I
+from tidemark.sources import tables
 from tidemark.sources.tables import materialize_table, refresh_materialized, replace_partitions, run_incremental
 
 KV = "k int, v string"
@@ -152,3 +153,32 @@ def test_replace_partitions(spark, frame):
     materialize_table(frame([(1, "d1"), (2, "d2")], "n int, day string"), "by_day", partition_by=["day"])
     assert rows(spark.table("by_day")) == [(1, "d1"), (2, "d2")]
     assert rows(replace_partitions(frame([(9, "d2")], "n int, day string"), "by_day")) == [(1, "d1"), (9, "d2")]
+
+
+def test_keyed_strategies_rewrite_only_touched_partitions(spark, frame):
+    schema = "k int, v string, day string"
+    first = frame([(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d3"), (4, "d", "d4")], schema)
+    # Key 2 moves to another partition and leaves its old one empty; key 5 opens a new one.
+    later = frame([(2, "B", "d3"), (5, "e", "d's")], schema)
+
+    def build(current):
+        return first if current is None else later
+
+    for strategy in ("merge", "delete+insert"):
+        table = f"parts_{strategy[:5]}"
+        run_incremental(spark, table, build, strategy, "k", partition_by=["day"])
+        files = {r.day: r.f for r in spark.table(table).select("day", F.input_file_name().alias("f")).collect()}
+        got = run_incremental(spark, table, build, strategy, "k", partition_by=["day"])
+        assert rows(got.select("k", "v", "day")) == [(1, "a", "d1"), (2, "B", "d3"), (3, "c", "d3"), (4, "d", "d4"), (5, "e", "d's")]
+        after = {r.day: r.f for r in got.select("day", F.input_file_name().alias("f")).collect()}
+        assert after["d1"] == files["d1"] and after["d4"] == files["d4"] and after["d3"] != files["d3"]
+        assert "d2" not in after
+
+
+def test_many_touched_partitions_rewrite_the_table(spark, frame, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_REWRITTEN", 1)
+    schema = "k int, day string"
+    batches = [frame([(1, "d1"), (2, "d2")], schema), frame([(1, "d3"), (2, "d4")], schema)]
+    for batch in batches:
+        got = run_incremental(spark, "many_parts", lambda current: batch, "merge", "k", partition_by=["day"])
+    assert rows(got.select("k", "day")) == [(1, "d3"), (2, "d4")]

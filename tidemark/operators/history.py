@@ -74,7 +74,8 @@ def _stamp(rules: HistoryRules, as_of) -> Column:
     return F.col(rules.updated_at) if rules.updated_at else _moment(as_of)
 
 
-def _is_open(rules: HistoryRules) -> Column:
+def is_open(rules: HistoryRules) -> Column:
+    """Condition of rows that no later version or deletion has closed."""
     valid_to = F.col(rules.meta(N.VALID_TO))
     if rules.open_until is None:
         return valid_to.isNull()
@@ -130,7 +131,7 @@ def stage_changes(target: DataFrame, source: DataFrame, rules: HistoryRules, as_
     meta = {n: rules.meta(n) for n in (N.SCD_ID, N.UPDATED_AT, N.VALID_FROM, N.VALID_TO)}
     flag = rules.meta(N.IS_DELETED)
     out_columns = [N.CHANGE_TYPE, *source_columns, *meta.values()] + ([flag] if rules.flags_deletes else [])
-    open_rows = target.filter(_is_open(rules))
+    open_rows = target.filter(is_open(rules))
 
     fresh = _new_version(source, rules, as_of)
     has_key = F.lit(True)
@@ -220,9 +221,9 @@ def merge_changes(target: DataFrame, changes: DataFrame, rules: HistoryRules) ->
         .groupBy(F.col(own_id).alias("_close_id"))
         .agg(F.min(valid_to).alias("_close_at"))
     )
-    closed = target.filter(~_is_open(rules))
+    closed = target.filter(~is_open(rules))
     still_open = (
-        target.filter(_is_open(rules))
+        target.filter(is_open(rules))
         .join(closing, F.col(own_id) == F.col("_close_id"), "left")
         .withColumn(valid_to, F.coalesce("_close_at", valid_to))
         .select(*target.columns)

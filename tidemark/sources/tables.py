@@ -2,9 +2,12 @@
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.names import SCD_ID
 from tidemark.operators import history, incremental
 from tidemark.session import runtime_settings, staged
 
@@ -41,13 +44,95 @@ def refresh_materialized(spark: SparkSession, build: Callable[[], DataFrame], ta
     return materialize_table(build(), table)
 
 
+# --- partitions --------------------------------------------------------------------
+
+# More touched partitions than this are rewritten with the whole table.
+MAX_REWRITTEN = 1_000
+
+
+def _partition_values(df: DataFrame, columns) -> set[tuple] | None:
+    """Distinct partition values, or None when there are more than ``MAX_REWRITTEN``."""
+    rows = df.select(*columns).distinct().limit(MAX_REWRITTEN + 1).collect()
+    return None if len(rows) > MAX_REWRITTEN else {tuple(row) for row in rows}
+
+
+def _in_partitions(columns, values) -> Column:
+    """Condition on partition columns alone, so the scan skips all other partitions."""
+    chosen = F.lit(False)
+    for value in values:
+        same = [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, value)]
+        chosen = chosen | reduce(lambda a, b: a & b, same)
+    return chosen
+
+
+def replace_partitions(df: DataFrame, table: str, columns=(), emptied_among=()) -> DataFrame:
+    """Overwrite only the partitions of a partitioned table that the rows fall in.
+
+    Of the partition values in ``emptied_among`` those without rows are dropped.
+    """
+    spark = df.sparkSession
+    present = _partition_values(df, columns) if emptied_among else set()
+    with runtime_settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    for value in set(emptied_among) - (present or set()):
+        spec = ", ".join(f"{c}={_literal(v)}" for c, v in zip(columns, value))
+        spark.sql(f"alter table {table} drop if exists partition ({spec})")
+    return spark.table(table)
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+# --- stored history ----------------------------------------------------------------
+
+# Layout column of a stored history: the run that closed a row, or that it is open.
+CLOSED_IN, OPEN = "closed_in", "open"
+
+
+def read_history(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).drop(CLOSED_IN)
+
+
 def run_snapshot(
     spark: SparkSession, table: str, source: DataFrame, rules: history.HistoryRules, as_of, folder: str | None = None
 ) -> DataFrame:
-    """One snapshot run against a stored history table."""
-    target = spark.table(table) if spark.catalog.tableExists(table) else None
-    result = history.snapshot(target, source, rules, as_of, stage=staged(spark, "changes"))
-    return materialize_table(result, table, folder=folder)
+    """One snapshot run against a stored history table.
+
+    The table is partitioned by the run that closed a row. A run reads and
+    rewrites the open rows and one partition of newly closed ones; older
+    partitions are neither read nor written. A run that failed midway can be
+    repeated.
+    """
+
+    def laid_out(rows):
+        run = F.when(history.is_open(rules), OPEN).otherwise(str(as_of))
+        return rows.withColumn(CLOSED_IN, run)
+
+    if not spark.catalog.tableExists(table):
+        materialize_table(laid_out(history.initial_history(source, rules, as_of)), table, [CLOSED_IN], folder)
+        return read_history(spark, table)
+    stored = spark.table(table)
+    still_open = stored.filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN)
+    stage = staged(spark, "changes")
+    result = laid_out(history.snapshot(still_open, source, rules, as_of, stage))
+    if set(result.columns) != set(stored.columns):
+        closed = stored.filter(F.col(CLOSED_IN) != OPEN)
+        materialize_table(closed.unionByName(result, allowMissingColumns=True), table, [CLOSED_IN], folder)
+    else:
+        # Rows an earlier run of the same time has closed stay with those closed now.
+        own_id = rules.meta(SCD_ID)
+        closed_now = result.filter(F.col(CLOSED_IN) != OPEN).select(own_id)
+        before = stored.filter(F.col(CLOSED_IN) == str(as_of)).join(closed_now, own_id, "left_anti")
+        written = staged(spark, "history")(result.unionByName(before))
+        replace_partitions(written, table, [CLOSED_IN], [(OPEN,)])
+    return read_history(spark, table)
+
+
+# --- stored incremental tables -----------------------------------------------------
 
 
 def run_incremental(
@@ -58,32 +143,42 @@ def run_incremental(
     unique_key=None,
     on_schema_change: str = "ignore",
     full_refresh: bool = False,
+    partition_by=(),
     folder: str | None = None,
     **options,
 ) -> DataFrame:
     """Incremental table: the first run and a full refresh create it, later runs apply the strategy.
 
-    ``build`` gets the current table, or None when it builds from scratch.
+    ``build`` gets the current table, or None when it builds from scratch. An
+    append writes only the batch. On a partitioned table the keyed strategies
+    rewrite only the partitions that hold a key of the batch or receive its rows.
     """
     if full_refresh or not spark.catalog.tableExists(table):
-        return materialize_table(build(None), table, folder=folder)
+        return materialize_table(build(None), table, partition_by, folder)
     current = spark.table(table)
     batch = build(current)
     target, columns = incremental.reconcile_schema(current, batch, on_schema_change)
-    plain_append = strategy == "append" or (strategy in (None, "default") and not unique_key)
-    if plain_append and target.columns == current.columns and target.schema == current.schema:
-        # Nothing stored changes, so only the batch is written.
-        kept = incremental.append(current.limit(0), batch, columns)
-        kept.select(*current.columns).write.mode("append").insertInto(table)
+    unchanged = target.schema == current.schema
+    strategy = strategy or "default"
+    if strategy == "default":
+        strategy = "delete+insert" if unique_key else "append"
+    if strategy == "append" and unchanged:
+        added = incremental.append(current.limit(0), batch, columns)
+        added.select(*current.columns).write.mode("append").insertInto(table)
         return spark.table(table)
-    result = incremental.apply_strategy(target, staged(spark, "batch")(batch), strategy, unique_key, columns, **options)
-    return materialize_table(result, table, folder=folder)
+    batch = staged(spark, "batch")(batch)
+    if partition_by and unchanged and unique_key and strategy in ("delete+insert", "merge"):
+        touched = _touched_partitions(current, batch, unique_key, partition_by)
+        if touched is not None:
+            reached = current.filter(_in_partitions(partition_by, touched))
+            result = incremental.apply_strategy(reached, batch, strategy, unique_key, columns, **options)
+            return replace_partitions(staged(spark, "rewritten")(result), table, partition_by, touched)
+    result = incremental.apply_strategy(target, batch, strategy, unique_key, columns, **options)
+    return materialize_table(result, table, partition_by, folder)
 
 
-def replace_partitions(df: DataFrame, table: str) -> DataFrame:
-    """Overwrite only the partitions of a partitioned table that the rows fall in."""
-    spark = df.sparkSession
-    columns = spark.table(table).columns
-    with runtime_settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        df.select(*columns).write.mode("overwrite").insertInto(table)
-    return spark.table(table)
+def _touched_partitions(current: DataFrame, batch: DataFrame, unique_key, partition_by) -> set[tuple] | None:
+    """Partitions with a key of the batch (found on the key columns alone) or with rows of the batch."""
+    keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
+    holding = current.select(*dict.fromkeys([*keys, *partition_by])).join(batch.select(*keys), keys, "left_semi")
+    return _partition_values(holding.select(*partition_by).unionByName(batch.select(*partition_by)), partition_by)
