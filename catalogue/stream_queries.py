@@ -170,4 +170,5 @@ def stream_late_label(v):
 
 @query("stream_reconcile_batch", _FINAL + "select * from final", _FINAL_VIEWS)
 def stream_reconcile_batch(v):
-    return _plain(L.reconcile_batch(L.enrich(_payments(v), _profiles(v)), _labels(v), TIMEOUT))
+    # Enriched last, so the accounts are joined once.
+    return _plain(L.enrich(L.reconcile_batch(_payments(v), _labels(v), TIMEOUT), _profiles(v)))

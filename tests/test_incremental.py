@@ -146,6 +146,10 @@ def test_materialize_reads_the_table_it_replaces(spark, frame):
     with pytest.raises(Exception):
         materialize_table(spark.table("mat_t").select(F.raise_error(F.lit("no")).alias("n")), "mat_t")
     assert rows(spark.table("mat_t")) == [(2,)]
+    spark.sql("alter table mat_t rename to mat_t__old")  # a swap that stopped halfway
+    assert rows(materialize_table(frame([(3,)], "n int"), "mat_t")) == [(3,)]
+    spark.sql("alter table mat_t rename to mat_t__old")
+    assert tables.table_exists(spark, "mat_t") and rows(spark.table("mat_t")) == [(3,)]
     assert rows(refresh_materialized(spark, lambda: frame([(5,)], "n int"), "mat_t")) == [(5,)]
 
 

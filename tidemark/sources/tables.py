@@ -12,6 +12,17 @@ from tidemark.operators import history, incremental
 from tidemark.session import runtime_settings, staged
 
 
+def table_exists(spark: SparkSession, table: str) -> bool:
+    """Whether a stored table exists, after undoing a swap that stopped between its two renames."""
+    if spark.catalog.tableExists(table):
+        return True
+    backup = f"{table}__old"
+    if not spark.catalog.tableExists(backup):
+        return False
+    spark.sql(f"alter table {backup} rename to {table}")
+    return True
+
+
 def materialize_table(df: DataFrame, table: str, partition_by=(), folder: str | None = None) -> DataFrame:
     """Build the result beside the table and swap it in.
 
@@ -22,6 +33,7 @@ def materialize_table(df: DataFrame, table: str, partition_by=(), folder: str |
     the partitions of a managed table would not follow its new name.
     """
     spark = df.sparkSession
+    replaces = table_exists(spark, table)
     aside, backup = f"{table}__next", f"{table}__old"
     spark.sql(f"drop table if exists {aside}")
     spark.sql(f"drop table if exists {backup}")
@@ -32,7 +44,7 @@ def materialize_table(df: DataFrame, table: str, partition_by=(), folder: str |
     if folder:
         writer = writer.option("path", f"{folder}/{table}-{uuid.uuid4().hex}")
     writer.saveAsTable(aside)
-    if spark.catalog.tableExists(table):
+    if replaces:
         spark.sql(f"alter table {table} rename to {backup}")
     spark.sql(f"alter table {aside} rename to {table}")
     spark.sql(f"drop table if exists {backup}")
@@ -112,7 +124,7 @@ def run_snapshot(
         run = F.when(history.is_open(rules), OPEN).otherwise(str(as_of))
         return rows.withColumn(CLOSED_IN, run)
 
-    if not spark.catalog.tableExists(table):
+    if not table_exists(spark, table):
         materialize_table(laid_out(history.initial_history(source, rules, as_of)), table, [CLOSED_IN], folder)
         return read_history(spark, table)
     stored = spark.table(table)
@@ -153,7 +165,7 @@ def run_incremental(
     append writes only the batch. On a partitioned table the keyed strategies
     rewrite only the partitions that hold a key of the batch or receive its rows.
     """
-    if full_refresh or not spark.catalog.tableExists(table):
+    if full_refresh or not table_exists(spark, table):
         return materialize_table(build(None), table, partition_by, folder)
     current = spark.table(table)
     batch = build(current)
