@@ -293,13 +293,13 @@ _OPTIONS = H.HistoryRules(
     """with a as (select l_orderkey, l_partkey, count(*) as n_lines from lineitem where l_returnflag <> 'R' group by 1, 2),
             b as (select l_orderkey, l_partkey, count(*) as n_lines, cast(sum(cast(l_quantity as bigint)) as bigint) as qty
                   from lineitem group by 1, 2)
-       select l_orderkey, l_partkey, a.n_lines, md5(l_orderkey || '|' || l_partkey || '|1995-01-01 00:00:00') as dbt_scd_id,
+       select l_orderkey, l_partkey, a.n_lines, md5(coalesce(cast(l_orderkey as varchar), '') || '|' || coalesce(cast(l_partkey as varchar), '') || '|1995-01-01 00:00:00') as dbt_scd_id,
               timestamp '1995-01-01' as dbt_updated_at, timestamp '1995-01-01' as valid_from,
               case when a.n_lines <> b.n_lines then timestamp '1997-01-01' else timestamp '9999-12-31' end as valid_to,
               cast(null as bigint) as qty
-       from a join b using (l_orderkey, l_partkey)
+       from a left join b using (l_orderkey, l_partkey)
        union all
-       select l_orderkey, l_partkey, b.n_lines, md5(l_orderkey || '|' || l_partkey || '|1997-01-01 00:00:00'),
+       select l_orderkey, l_partkey, b.n_lines, md5(coalesce(cast(l_orderkey as varchar), '') || '|' || coalesce(cast(l_partkey as varchar), '') || '|1997-01-01 00:00:00'),
               timestamp '1997-01-01', timestamp '1997-01-01', timestamp '9999-12-31', b.qty
        from b left join a using (l_orderkey, l_partkey) where a.n_lines is null or a.n_lines <> b.n_lines""",
 )
