@@ -210,8 +210,9 @@ def links(prints: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``print`` and ``component_id`` for rows ``id``, ``print``.
+    """``print``, ``root`` and ``component_id`` for rows ``id``, ``print``.
 
+    ``root`` is a component's least fingerprint.
     ``component_id`` is the least ``id`` reachable over links; null ids count only
     if there is no other. Every fingerprint appears once, also those without a
     link. Equal rows and equal fingerprints fold together. No rows, no result.
@@ -224,4 +225,4 @@ def near_duplicates(prints: DataFrame, settings: Settings = Settings()) -> DataF
         "rooted",
     )
     least = stored(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "components")
-    return rooted.join(least, "root").select("print", "component_id")
+    return rooted.join(least, "root").select("print", "root", "component_id")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunked_bpe, compression_bands, covering_simhash, language_id
+from tidemark.llm import chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch
 from tidemark.llm.runtime import prepare, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,26 @@ def op4(documents: DataFrame) -> DataFrame:
     return prints.join(groups, "print").select("doc_id", fingerprint, "component_id")
 
 
+@query("op5_scaled_sketch", "documents")
+def op5(documents: DataFrame) -> DataFrame:
+    pairs = following.with_next(documents, scaled_sketch.sketch("text"))
+    kept = F.col("n_chars") - F.floor(F.col("n_chars") / 4)
+    edited = (
+        pairs.withColumn("n_chars", F.length("text").cast("long"))
+        .withColumn("edited", F.concat(F.substring("text", F.lit(1), kept.cast("int")), "next_start"))
+        .select("doc_id", "n_chars", "mark", "next_mark", "edited", scaled_sketch.sketch("edited").alias("edited_mark"))
+    )
+    return edited.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        scaled_sketch.as_text(F.col("mark")).alias("fingerprint"),
+        scaled_sketch.as_text(F.col("edited_mark")).alias("edited_fingerprint"),
+        scaled_sketch.containment(F.col("mark"), F.col("edited_mark")).alias("near_edited"),
+        scaled_sketch.containment(F.col("mark"), F.col("next_mark")).alias("near_next"),
+    )
+
+
 @query("op7_chunked_bpe", "documents")
 def op7(documents: DataFrame) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN

@@ -50,12 +50,12 @@ def keep_one_of_near_duplicates(docs: DataFrame) -> DataFrame:
     )
     groups = covering_simhash.near_duplicates(prints.select(F.col("doc_id").alias("id"), "print"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__text")
-    first = prints.join(groups.withColumnRenamed("component_id", "__component"), "print")
-    group = F.coalesce(F.col("__component").cast("string"), F.concat(F.lit("#"), F.hex("print")))
     winners = (
-        first.groupBy(group.alias("__group"))
+        prints.join(groups.select("print", "root"), "print")
+        .groupBy("root")
         .agg(F.min_by(F.struct("__id", "__text"), order).alias("w"))
-        .select("w.*").distinct()
-    )
+        .select("w.*")
+        .distinct()
+    )
     kept = docs.withColumns({"__id": id_key, "__text": text_key}).join(winners, ["__id", "__text"])
     return kept.dropDuplicates(["__id", "__text"]).select(*docs.columns)
