@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch
+from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch
 from tidemark.llm.runtime import prepare, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+WORDS = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -34,6 +35,11 @@ def op1(documents: DataFrame) -> DataFrame:
     return judged.select("doc_id", "result.*")
 
 
+@query("op2_bin_slack", "documents")
+def op2(documents: DataFrame) -> DataFrame:
+    return bin_slack.pack(documents, "doc_id", "text", public_tokenizers.path(WORDS))
+
+
 @query("op3_language_id", "documents")
 def op3(documents: DataFrame) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
