@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch
+from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch, warc
 from tidemark.llm.runtime import prepare, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,20 @@ def op7(documents: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+SHA1 = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as digest from pages),
+q as (select *, octet_length(encode(html)) as n, max(page_id) over (partition by digest) as first from p)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+  case when n >= 1000 and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and page_id is distinct from first then first end as refers_to
+from q
+"""
+
+
+@query("op8_warc_transactions", "pages", SHA1)
+def op8(pages: DataFrame) -> DataFrame:
+    folder = warc.write_captures(pages)
+    records = warc.described(warc.read_records(pages.sparkSession, folder))
+    return warc.resolved(warc.assemble(warc.without_pages(records)))
