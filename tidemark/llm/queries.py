@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch, warc
+from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch, tool_calls, warc
 from tidemark.llm.runtime import prepare, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,62 @@ def op8(pages: DataFrame) -> DataFrame:
     folder = warc.write_captures(pages)
     records = warc.described(warc.read_records(pages.sparkSession, folder))
     return warc.resolved(warc.assemble(warc.without_pages(records)))
+
+
+TOOLS = {
+    "answer": {"properties": {"text": "string", "chars": "integer"}, "required": ("text", "chars")},
+    "instruct": {"properties": {"text": "string", "chars": "integer"}, "required": ("text",)},
+}
+
+LINKS = """
+with m as (select conv_id as conv, turn, role, text, count(*) as n from conversations group by all),
+c as (
+  select conv, concat(conv, '-', turn) as call_id, turn as position, text, n,
+    case role when 'user' then 'answer' else 'instruct' end as name,
+    case when text is null then '{"chars":0}' else json_object('chars', length(text), 'text', text)::varchar end as args
+  from m where role is distinct from 'assistant'
+),
+k as (select *, row_number() over (partition by conv, call_id order by position, name, args) as nth from c),
+r as (select conv, concat(conv, '-', turn - 1) as call_id, turn as result_position, text as content, n from m where role = 'assistant'),
+parts as (
+  select r.conv, r.call_id, k.position, r.result_position, k.name, r.content, k.args, r.n,
+    case when k.conv is null then 'orphan' else 'linked' end as status
+  from r left join k on k.conv = r.conv and k.call_id = r.call_id and k.nth = 1
+  union all
+  select conv, call_id, position, null, name, null, args, n, 'unanswered' from k
+  where nth = 1 and not exists (select 1 from r where r.conv = k.conv and r.call_id = k.call_id)
+  union all
+  select conv, call_id, position, null, name, null, args, n, 'duplicate' from k where nth > 1
+)
+select conv, call_id, position, result_position, name, status, n as copies,
+  case when status in ('linked', 'unanswered') then 0 end::integer as stage,
+  case when status <> 'orphan' then case when args like '{"chars":0}' and name = 'answer' then 'text: missing' else '' end end as errors,
+  concat('{"arguments":', coalesce(args, 'null'), ',"id":', to_json(call_id), ',"name":', coalesce(to_json(name)::varchar, 'null'),
+    ',"result":', coalesce(to_json(content)::varchar, 'null'), '}') as json
+from parts
+"""
+
+
+@query("op9_tool_calls", "conversations", LINKS)
+def op9(conversations: DataFrame) -> DataFrame:
+    """User and system turns are calls, assistant turns the result of the turn
+    before; a user turn waits for the call two turns back."""
+
+    def call_id(back: int):
+        return F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
+
+    turns = conversations.select("conv_id", "turn", "role", "text", F.col("conv_id").alias("conv"))
+    reply = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    arguments = F.struct(F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "text")
+    calls = turns.where(~reply).select(
+        "conv",
+        call_id(0).alias("call_id"),
+        F.col("turn").alias("position"),
+        F.when(F.col("role") == "user", "answer").otherwise("instruct").alias("name"),
+        F.to_json(arguments).alias("arguments"),
+        F.when(F.col("role") == "user", F.array(call_id(2))).otherwise(F.array().cast("array<string>")).alias("after"),
+    )
+    results = turns.where(reply).select(
+        "conv", call_id(1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
+    )
+    return tool_calls.linked(calls, results, TOOLS)
