@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, language_id, scaled_sketch, tool_calls, warc
+from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, html_extraction, language_id, scaled_sketch, tool_calls, warc
 from tidemark.llm.runtime import prepare, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,10 @@ def op9(conversations: DataFrame) -> DataFrame:
         "conv", call_id(1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
     )
     return tool_calls.linked(calls, results, TOOLS)
+
+
+@query("op10_html_extraction", "pages")
+def op10(pages: DataFrame) -> DataFrame:
+    trees = html_extraction.fit(pages)
+    text = html_extraction.extract(pages.sparkSession, trees, "html").alias("text")
+    return pages.select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("long"))
