@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, html_extraction, language_id, scaled_sketch, tool_calls, warc
-from tidemark.llm.runtime import prepare, stored, table
+from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, html_extraction, language_id, scaled_sketch, suffix_dedup, tool_calls, warc
+from tidemark.llm.runtime import prepare, stored, table, utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,36 @@ def op5(documents: DataFrame) -> DataFrame:
     )
 
 
+@query("op6_suffix_dedup", "documents")
+def op6(documents: DataFrame) -> DataFrame:
+    settings = suffix_dedup.Settings()
+    text = utf8("text")
+    docs = documents.select(
+        "doc_id",
+        *suffix_dedup.text_keys("text"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("whole_sha256"),
+    )
+    cut = suffix_dedup.without_repeats(documents, "text", settings).select(
+        "k1", "k2",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias("removed"),
+        F.size("spans").cast("long").alias("runs"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    copies = docs.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
+    texts = stored(copies.join(cut, ["k1", "k2"], "left"), "cut-texts")
+    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= settings.length)
+    return docs.join(texts, ["k1", "k2"]).select(
+        "doc_id",
+        "n_bytes",
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
+        F.when(whole, F.lit(1)).otherwise(F.coalesce("runs", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.sha2(F.lit("").cast("binary"), 256))
+        .otherwise(F.coalesce("kept_sha256", "whole_sha256"))
+        .alias("kept_sha256"),
+    )
+
+
 @query("op7_chunked_bpe", "documents")
 def op7(documents: DataFrame) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
