@@ -21,10 +21,22 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return stages.keep_one_of_near_duplicates(docs)
 
 
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return stages.remove_repeated_strings(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return stages.pack_sequences(docs)
+
+
 STAGES = [
     ("language ID", language_id),
     ("quality rules", quality_rules),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("packing", packing),
 ]
 
 # Language scores, compression ratios and packing can't be said in SQL.

@@ -6,10 +6,11 @@ prefix that tables don't use, so names never clash.
 """
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression_bands, covering_simhash, language_id
+from tidemark.llm import bin_slack, compression_bands, covering_simhash, language_id, suffix_dedup
 from tidemark.llm.runtime import stored
 
 LEAST_SCORE = 0.5
@@ -59,3 +60,37 @@ def keep_one_of_near_duplicates(docs: DataFrame) -> DataFrame:
     )
     kept = docs.withColumns({"__id": id_key, "__text": text_key}).join(winners, ["__id", "__text"])
     return kept.dropDuplicates(["__id", "__text"]).select(*docs.columns)
+
+
+def remove_repeated_strings(docs: DataFrame) -> DataFrame:
+    """Documents without the bytes of repeated strings, in ``text`` (and ``n_chars``).
+
+    Every document stays, if need be with an empty text: what is cut is text, not
+    documents. Where a cut falls inside a character the rest of that character goes
+    too. Texts without a repeat are left as they are, nulls included.
+    """
+    settings = suffix_dedup.Settings()
+    cut = suffix_dedup.without_repeats(docs, "text", settings).select("k1", "k2", _whole_characters("kept").alias("__kept"))
+    keyed = docs.withColumns(dict(zip(("__k1", "__k2"), suffix_dedup.text_keys("text"))))
+    copies = keyed.groupBy("__k1", "__k2").agg(F.count("*").alias("__copies"))
+    renamed = cut.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
+    changed = stored(copies.join(renamed, ["__k1", "__k2"], "left").where("__copies > 1 or __kept is not null"), "cut-texts")
+    whole = (F.col("__copies") > 1) & (F.octet_length("text") >= settings.length)
+    joined = keyed.join(changed, ["__k1", "__k2"], "left")
+    joined = joined.withColumn("text", F.when(whole, "").otherwise(F.coalesce("__kept", "text")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", F.when(whole | F.col("__kept").isNotNull(), length).otherwise(F.col("n_chars")))
+    return joined.select(*docs.columns)
+
+
+def _whole_characters(column: str):
+    def decode(parts: pa.Array) -> pa.Array:
+        return pa.array([p.as_py().decode("utf-8", "ignore") for p in parts], pa.string())
+
+    return F.arrow_udf(decode, "string").asNondeterministic()(F.col(column))
+
+
+def pack_sequences(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return bin_slack.pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
