@@ -8,6 +8,7 @@ are fitted by expectation maximisation on a bounded sample of labelled texts.
 """
 
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,7 @@ UNDECIDED = "und"
 @dataclass(frozen=True)
 class Settings:
     """``documents``: most labelled texts per language that are fitted on.
+    ``languages``: most languages; their counts come to the driver.
 
     ``rounds``: expectation maximisation rounds. ``added``: count added to every
     piece. ``longest``: letters after which a run is cut (scripts without
@@ -36,10 +38,11 @@ class Settings:
     """
 
     documents: int = 600
+    languages: int = 1_000
     rounds: int = 2
     added: float = 0.02
     longest: int = 32
-    kept_words: int = 150_000
+    kept_words: int = 400_000
 
 
 @cache
@@ -84,23 +87,79 @@ def matches(word: str, pieces: dict[str, int], most: int) -> list[tuple[int, int
     return found
 
 
-def forward(words: list[str], pieces: dict[str, int], most: int, chances: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Trie:
+    """The vocabulary's prefixes as numbered nodes; an edge's key is its node and character."""
+
+    keys: np.ndarray  # sorted: node << 21 | character
+    target: np.ndarray
+    piece: np.ndarray  # of each node, -1 where no piece ends
+
+
+@cache
+def trie(path: str) -> Trie:
+    pieces, _ = vocabulary(path)
+    nodes: dict[str, int] = {"": 0}
+    edges: dict[int, int] = {}
+    for piece in pieces:
+        for end in range(1, len(piece) + 1):
+            node = nodes.setdefault(piece[:end], len(nodes))
+            edges[nodes[piece[: end - 1]] << 21 | ord(piece[end - 1])] = node
+    ends = np.full(len(nodes), -1, np.int64)
+    for piece, number in pieces.items():
+        ends[nodes[piece]] = number
+    keys = np.array(sorted(edges), np.int64)
+    return Trie(keys, np.array([edges[k] for k in keys.tolist()], np.int64), ends)
+
+
+def forward(words: list[str], path: str, chances: np.ndarray) -> np.ndarray:
     """Log probability of each word (row) in each language (column).
 
-    All words advance together, one end position and piece length at a time.
+    All starts of all words walk the vocabulary's trie together; then all words
+    advance together, one end position and piece length at a time.
     """
-    steps: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-    for row, word in enumerate(words):
-        for i, j, piece in matches(word, pieces, most):
-            rows, ids = steps.setdefault((j, j - i), ([], []))
-            rows.append(row)
-            ids.append(piece)
-    lengths = np.array([len(w) + 1 for w in words])
-    alpha = np.zeros((len(words), lengths.max() + 1, chances.shape[1]))
-    alpha[:, 0] = 1.0
-    for (end, size), (rows, ids) in sorted(steps.items()):
-        alpha[rows, end] += alpha[rows, end - size] * chances[ids]
-    return np.log(alpha[np.arange(len(words)), lengths])
+    tree, unknown = trie(path), len(chances) - 1
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    width = int(lengths.max())
+    letters = np.full((len(words), width), -1, np.int64)
+    letters[:, 0] = ord(START)
+    text = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    spot = np.repeat(np.arange(len(words)) * width + 1 - np.cumsum(np.append(0, lengths[:-1] - 1)), lengths - 1)
+    letters.ravel()[spot + np.arange(len(text))] = text
+    row, start = np.nonzero(letters >= 0)
+    node = np.zeros(len(row), np.int64)
+    single = np.zeros((len(words), width), bool)
+    steps: list[list[tuple]] = [[] for _ in range(width + 1)]
+    found = []
+    size = 0
+    while len(row):
+        at = start + size
+        within = at < lengths[row]
+        row, start, node, at = row[within], start[within], node[within], at[within]
+        key = node << 21 | letters[row, at]
+        edge = np.minimum(np.searchsorted(tree.keys, key), len(tree.keys) - 1)
+        hit = tree.keys[edge] == key
+        row, start, node = row[hit], start[hit], tree.target[edge[hit]]
+        size += 1
+        piece = tree.piece[node]
+        ends = piece >= 0
+        found.append((size, row[ends], start[ends], piece[ends]))
+        if size == 1:
+            single[row[ends], start[ends]] = True
+    lone_row, lone_start = np.nonzero(~single & (letters >= 0))
+    found.append((1, lone_row, lone_start, np.full(len(lone_row), unknown)))
+    for size, rows, starts, pieces in found:
+        order = np.argsort(starts, kind="stable")
+        rows, starts, pieces = rows[order], starts[order], pieces[order]
+        edges = np.flatnonzero(np.diff(starts, prepend=-1, append=width + 1))
+        for begin, end in zip(edges[:-1], edges[1:]):
+            steps[starts[begin] + size].append((size, rows[begin:end], pieces[begin:end]))
+    alpha = np.zeros((width + 1, len(words), chances.shape[1]))
+    alpha[0] = 1.0
+    for end in range(1, width + 1):
+        for size, rows, pieces in steps[end]:
+            alpha[end, rows] += alpha[end - size, rows] * chances[pieces]
+    return np.log(alpha[lengths, np.arange(len(words))])
 
 
 def expected(word: str, pieces: dict[str, int], most: int, chance: np.ndarray) -> tuple[list[int], list[float]]:
@@ -131,9 +190,15 @@ def _sample(labelled: DataFrame, settings: Settings) -> DataFrame:
     A first cut by hash at the share that leaves about twice as many keeps the
     ranking small; the rank then makes the bound exact.
     """
-    shares = labelled.groupBy("lang").agg((2.0 * settings.documents / F.count("*")).alias("share"))
-    spread = (F.pmod(F.xxhash64("key"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("spread")
-    drawn = labelled.select("lang", "text", spread).join(shares, "lang").where("spread <= share")
+    counts = labelled.groupBy("lang").count().limit(settings.languages + 1).collect()
+    if len(counts) > settings.languages:
+        raise ValueError(f"more than {settings.languages} languages")
+    shares = {r["lang"]: 2.0 * settings.documents / r["count"] for r in counts}
+    if not shares:
+        return labelled.select("lang", "text").limit(0)
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]
+    spread = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = labelled.select("lang", "text", spread.alias("spread")).where(F.col("spread") <= share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("spread", F.xxhash64("text")))
     return drawn.withColumn("rank", rank).where(F.col("rank") <= settings.documents).select("lang", "text")
 
@@ -204,6 +269,39 @@ def fit(labelled: DataFrame, path: str, settings: Settings = Settings()) -> Mode
     return model
 
 
+class WordScores:
+    """Scores of words seen so far; a Python worker keeps them from task to task."""
+
+    latest: "tuple[str, WordScores] | None" = None
+
+    def __init__(self, model: Model):
+        self.model, self.rows = model, {}
+        self.scores = np.zeros((0, len(model.languages)))
+
+    @classmethod
+    def of(cls, name: str, model: Model) -> "WordScores":
+        if cls.latest is None or cls.latest[0] != name:
+            cls.latest = (name, cls(model))
+        return cls.latest[1]
+
+    def learn(self, counts: list[Counter]):
+        new = {w for c in counts for w in c if w not in self.rows}
+        if new and len(self.rows) + len(new) > self.model.settings.kept_words:
+            self.rows, self.scores = {}, self.scores[:0]
+            new = {w for c in counts for w in c}
+        words = sorted(new, key=len)  # words of like length advance together
+        found = [self.scores]
+        for i in range(0, len(words), 8_192):
+            part = words[i : i + 8_192]
+            self.rows.update(zip(part, range(len(self.rows), len(self.rows) + len(part))))
+            found.append(forward(part, self.model.path, self.model.chances))
+        self.scores = np.concatenate(found)
+
+    def total(self, count: Counter) -> np.ndarray:
+        rows = np.fromiter(map(self.rows.__getitem__, count), np.int64, len(count))
+        return np.fromiter(count.values(), np.float64, len(count)) @ self.scores[rows]
+
+
 def predict(spark: SparkSession, model: Model, text: str | Column = "text") -> Column:
     """A struct of ``lang`` and ``score``, the posterior under equal priors.
 
@@ -212,32 +310,22 @@ def predict(spark: SparkSession, model: Model, text: str | Column = "text") -> C
     """
     shared = spark.sparkContext.broadcast(model)
     column = F.col(text) if isinstance(text, str) else text
+    name = uuid.uuid4().hex
 
     def classify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at = shared.value
-        pieces, most = vocabulary(at.path)
-        known: dict[str, int] = {}
-        scores = np.zeros((0, len(at.languages)))
+        known = WordScores.of(name, at)
         for batch in texts:
             langs, values = [], []
             counts = [words_of(t, at.settings.longest) if t else {} for t in batch.to_pylist()]
-            fresh = {w for c in counts for w in c if w not in known}
-            if len(known) + len(fresh) > at.settings.kept_words and fresh:
-                known, scores = {}, scores[:0]
-                fresh = {w for c in counts for w in c}
-            if fresh and at.languages:
-                new = sorted(fresh, key=len)
-                for i in range(0, len(new), 20_000):
-                    part = new[i : i + 20_000]
-                    known.update(zip(part, range(len(scores), len(scores) + len(part))))
-                    scores = np.concatenate([scores, forward(part, pieces, most, at.chances)])
+            if at.languages:
+                known.learn(counts)
             for c in counts:
                 if not c or not at.languages:
                     langs.append(UNDECIDED)
                     values.append(0.0)
                     continue
-                rows = np.fromiter((known[w] for w in c), np.int64, len(c))
-                total = np.fromiter(c.values(), np.float64, len(c)) @ scores[rows]
+                total = known.total(c)
                 best = int(total.argmax())
                 langs.append(at.languages[best])
                 values.append(float(1.0 / np.exp(total - total[best]).sum()))
