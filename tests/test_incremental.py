@@ -80,11 +80,29 @@ def test_microbatch(frame):
     target = frame([(1, "2024-01-01", "a")], "k int, day string, v string")
     batch = frame([(1, "2024-01-02", "b"), (1, "2024-01-03", "c"), (2, "2024-01-09", "d")], "k int, day string, v string")
     got = I.microbatch(target, batch, "k", "day", ["2024-01-02", "2024-01-03", "2024-01-04"])
-    assert rows(got) == [(1, "2024-01-03", "c")]
+    assert rows(got) == [(1, "2024-01-03", "c"), (2, "2024-01-09", "d")]
+    outlying = frame([(1, None, "n"), (3, None, "m"), (4, "2000-01-01", "e")], "k int, day string, v string")
+    edges = ["2024-01-02", "2024-01-03", "2024-01-04"]
+    want = [(1, "2024-01-03", "c"), (2, "2024-01-09", "d"), (3, None, "m"), (4, "2000-01-01", "e")]
+    assert rows(I.microbatch(target, batch.union(outlying), "k", "day", edges)) == want
+    stepwise = I.microbatch(target, batch.union(outlying), "k", "day", edges, store=lambda df: df)
+    assert rows(stepwise) == want
     with pytest.raises(ValueError):
         I.microbatch(target, batch, None, "day", ["2024-01-01", "2024-01-02"])
 
 
+def test_microbatch_reads_its_inputs_equally_often_for_any_number_of_slices(spark, frame, tmp_path):
+    for name in ("target", "batch"):
+        frame([(1, "2024-01-02", "b")], "k int, day string, v string").write.parquet(str(tmp_path / name))
+    target, batch = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "batch"))
+
+    def scans(edges):
+        plan = I.microbatch(target, batch, "k", "day", edges)._jdf.queryExecution().sparkPlan().toString()
+        return plan.count("FileScan")
+
+    assert scans([f"2024-01-{d:02}" for d in range(2, 20)]) == scans(["2024-01-02", "2024-01-03"])
+
+
 def test_dispatch(target, frame):
     batch = frame([(1, "x")], KV)
     assert rows(I.apply_strategy(target, batch, None, "k")) == rows(I.delete_insert(target, batch, "k"))
@@ -179,10 +197,15 @@ def test_keyed_strategies_rewrite_only_touched_partitions(spark, frame):
         assert "d2" not in after
 
 
-def test_many_touched_partitions_rewrite_the_table(spark, frame, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_REWRITTEN", 1)
-    schema = "k int, day string"
-    batches = [frame([(1, "d1"), (2, "d2")], schema), frame([(1, "d3"), (2, "d4")], schema)]
+def test_many_partitions_are_rewritten_one_by_one(spark):
+    def days(first, count, tag):
+        return spark.range(first, first + count).selectExpr("id as k", f"'{tag}' as v", "concat('d', id) as day")
+
+    batches = [days(0, 1_300, "a"), days(100, 1_150, "b")]
     for batch in batches:
         got = run_incremental(spark, "many_parts", lambda current: batch, "merge", "k", partition_by=["day"])
-    assert rows(got.select("k", "day")) == [(1, "d3"), (2, "d4")]
+    assert got.count() == 1_300 and got.filter("v = 'b'").count() == 1_150
+    moved = spark.range(100).selectExpr("id as k", "'c' as v", "cast(null as string) as day")
+    got = run_incremental(spark, "many_parts", lambda current: moved, "merge", "k", partition_by=["day"])
+    assert got.count() == 1_300 and got.filter("v = 'c' and day is null").count() == 100
+    assert got.filter("v = 'a' and day is not null").count() == 50

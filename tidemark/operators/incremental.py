@@ -113,16 +113,28 @@ def insert_overwrite(target: DataFrame, batch: DataFrame, predicates=(), columns
 def microbatch(target: DataFrame, batch: DataFrame, unique_key, event_time: str, bounds, store=None) -> DataFrame:
     """Upsert one time slice after the other; ``bounds`` are the rising slice edges.
 
-    ``store`` may write the state after each slice and hand back the written table.
+    Rows before the first edge, or without a time, form a slice of their own that
+    comes first, rows from the last edge on one that comes last: every batch row
+    arrives. Of a key in several slices the latest slice counts, so all slices are
+    merged in one step. ``store`` may instead write the state after each slice and
+    hand back the written table.
     """
-    if not _keys(unique_key):
+    keys = _keys(unique_key)
+    if not keys:
         raise ValueError("the microbatch strategy needs a unique key")
-    for low, high in zip(bounds, bounds[1:]):
-        moment = F.col(event_time)
-        slice_ = batch.filter((moment >= F.lit(str(low))) & (moment < F.lit(str(high))))
-        target = merge(target, slice_, unique_key)
-        target = store(target) if store else target
-    return target
+    edges = sorted({str(bound) for bound in bounds})
+    moment = F.col(event_time)
+    kind = batch.schema[event_time].dataType
+    number = reduce(lambda n, edge: n + F.when(moment >= F.lit(edge).cast(kind), 1).otherwise(0), edges, F.lit(0))
+    sliced = batch.withColumn("_slice", number)
+    if store:
+        for k in range(len(edges) + 1):
+            target = store(merge(target, sliced.filter(F.col("_slice") == k).drop("_slice"), keys))
+        return target
+    latest = sliced.groupBy(*keys).agg(F.max("_slice").alias("_latest"))
+    same = reduce(lambda a, b: a & b, [sliced[k].eqNullSafe(latest[k]) for k in keys])
+    kept = sliced.join(latest, same & (sliced["_slice"] == latest["_latest"]), "left_semi").drop("_slice")
+    return merge(target, kept, keys)
 
 
 def apply_strategy(

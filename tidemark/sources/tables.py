@@ -58,36 +58,35 @@ def refresh_materialized(spark: SparkSession, build: Callable[[], DataFrame], ta
 
 # --- partitions --------------------------------------------------------------------
 
-# More touched partitions than this are rewritten with the whole table.
-MAX_REWRITTEN = 1_000
+def _in_partitions(df: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows in the given partitions. Plain equality lets the scan skip all other
+    partitions at run time; only a null partition value needs the null-safe form."""
+    columns = values.columns
+    if values.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])).isEmpty():
+        return df.join(values, columns, "left_semi")
+    return df.join(values, _same_partition(df, values), "left_semi")
 
 
-def _partition_values(df: DataFrame, columns) -> set[tuple] | None:
-    """Distinct partition values, or None when there are more than ``MAX_REWRITTEN``."""
-    rows = df.select(*columns).distinct().limit(MAX_REWRITTEN + 1).collect()
-    return None if len(rows) > MAX_REWRITTEN else {tuple(row) for row in rows}
+def _same_partition(left: DataFrame, right: DataFrame) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in right.columns])
 
 
-def _in_partitions(columns, values) -> Column:
-    """Condition on partition columns alone, so the scan skips all other partitions."""
-    chosen = F.lit(False)
-    for value in values:
-        same = [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, value)]
-        chosen = chosen | reduce(lambda a, b: a & b, same)
-    return chosen
-
-
-def replace_partitions(df: DataFrame, table: str, columns=(), emptied_among=()) -> DataFrame:
+def replace_partitions(df: DataFrame, table: str, emptied_among: DataFrame | None = None) -> DataFrame:
     """Overwrite only the partitions of a partitioned table that the rows fall in.
 
-    Of the partition values in ``emptied_among`` those without rows are dropped.
+    Of the partition values in ``emptied_among`` (a table of partition columns)
+    those without rows are dropped. ``df`` is read twice then; pass a stored result.
     """
     spark = df.sparkSession
-    present = _partition_values(df, columns) if emptied_among else set()
+    emptied = []
+    if emptied_among is not None:
+        present = df.select(*emptied_among.columns).distinct()
+        gone = emptied_among.distinct().join(present, _same_partition(emptied_among, present), "left_anti")
+        emptied = gone.collect()  # partitions of one table, which the catalogue lists anyway
     with runtime_settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    for value in set(emptied_among) - (present or set()):
-        spec = ", ".join(f"{c}={_literal(v)}" for c, v in zip(columns, value))
+    for value in emptied:
+        spec = ", ".join(f"{c}={_literal(v)}" for c, v in value.asDict().items())
         spark.sql(f"alter table {table} drop if exists partition ({spec})")
     return spark.table(table)
 
@@ -140,7 +139,7 @@ def run_snapshot(
         closed_now = result.filter(F.col(CLOSED_IN) != OPEN).select(own_id)
         before = stored.filter(F.col(CLOSED_IN) == str(as_of)).join(closed_now, own_id, "left_anti")
         written = staged(spark, "history")(result.unionByName(before))
-        replace_partitions(written, table, [CLOSED_IN], [(OPEN,)])
+        replace_partitions(written, table, spark.createDataFrame([(OPEN,)], f"{CLOSED_IN} string"))
     return read_history(spark, table)
 
 
@@ -180,17 +179,16 @@ def run_incremental(
         return spark.table(table)
     batch = staged(spark, "batch")(batch)
     if partition_by and unchanged and unique_key and strategy in ("delete+insert", "merge"):
-        touched = _touched_partitions(current, batch, unique_key, partition_by)
-        if touched is not None:
-            reached = current.filter(_in_partitions(partition_by, touched))
-            result = incremental.apply_strategy(reached, batch, strategy, unique_key, columns, **options)
-            return replace_partitions(staged(spark, "rewritten")(result), table, partition_by, touched)
+        touched = staged(spark, "touched")(_touched_partitions(current, batch, unique_key, partition_by))
+        reached = _in_partitions(current, touched)
+        result = incremental.apply_strategy(reached, batch, strategy, unique_key, columns, **options)
+        return replace_partitions(staged(spark, "rewritten")(result), table, touched)
     result = incremental.apply_strategy(target, batch, strategy, unique_key, columns, **options)
     return materialize_table(result, table, partition_by, folder)
 
 
-def _touched_partitions(current: DataFrame, batch: DataFrame, unique_key, partition_by) -> set[tuple] | None:
+def _touched_partitions(current: DataFrame, batch: DataFrame, unique_key, partition_by) -> DataFrame:
     """Partitions with a key of the batch (found on the key columns alone) or with rows of the batch."""
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
     holding = current.select(*dict.fromkeys([*keys, *partition_by])).join(batch.select(*keys), keys, "left_semi")
-    return _partition_values(holding.select(*partition_by).unionByName(batch.select(*partition_by)), partition_by)
+    return holding.select(*partition_by).unionByName(batch.select(*partition_by)).distinct()
