@@ -107,8 +107,10 @@ def encode(docs: DataFrame, key: str, text: str, path: str, pattern: str, settin
 
 def _encode_long(long: DataFrame, path: str, pattern: str, settings: Settings) -> DataFrame:
     size, kind = settings.chunk, long.schema["key"].dataType
-    chunks = long.select(
-        F.monotonically_increasing_id().alias("row"),
+    # Numbered before the chunks are made, so that a text's chunks share the number.
+    numbered = long.select(F.monotonically_increasing_id().alias("row"), "key", "text")
+    chunks = numbered.select(
+        "row",
         "key",
         F.length("text").alias("length"),
         F.posexplode(
