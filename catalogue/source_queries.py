@@ -61,12 +61,23 @@ def parsed_events(v):
     return parsed.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
 
 
-@query("bronze_silver_fanout", "select *, amount * 0.01e0 as risk_score from payment_events", "payment_events")
+BOTH_LAYERS = """select *, amount * 0.01e0 as risk_score, 'silver' as layer from payment_events
+  union all select *, null, 'bronze' from payment_events"""
+
+
+def both_layers(spark, bronze, silver):
+    """Rows of both layers, with the bronze stamp checked and left out."""
+    stamped = spark.read.parquet(bronze).filter("processing_ts is not null").drop("processing_ts", "run_id", "epoch_id")
+    scored = spark.read.parquet(silver).drop("run_id", "epoch_id").withColumn("layer", F.lit("silver"))
+    return scored.unionByName(stamped.withColumn("layer", F.lit("bronze")), allowMissingColumns=True)
+
+
+@query("bronze_silver_fanout", BOTH_LAYERS, "payment_events")
 def fanned_out(v):
     bronze, silver = fresh_folder(v.spark, "bronze"), fresh_folder(v.spark, "silver")
     for _ in range(2):  # the second write stands for a retry and adds nothing
         write_layers(v.payment_events, 0, bronze, silver)
-    return v.spark.read.parquet(silver).drop("epoch_id")
+    return both_layers(v.spark, bronze, silver)
 
 
 @query("sink_parquet_append", "select currency, count(*) as n_events, cast(sum(cast(amount * 100 as bigint)) as bigint) as cents from payment_events group by 1", "payment_events")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue.registry import query
+from catalogue.source_queries import BOTH_LAYERS, both_layers
 from tidemark.plans.risk import risk_flagging
 from tidemark.session import fresh_folder
 from tidemark.sources.events import open_stream, to_messages
@@ -25,11 +26,11 @@ def _events(df):
     return df.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
 
 
-@query("stream_bronze_silver", "select *, amount * 0.01e0 as risk_score from payment_events", "payment_events")
+@query("stream_bronze_silver", BOTH_LAYERS, "payment_events")
 def stream_bronze_silver(v):
     bronze, silver, checkpoint = (fresh_folder(v.spark, n) for n in ("bronze", "silver", "checkpoint"))
     start_bronze_silver(_messages(v), bronze, silver, checkpoint, interval=None).awaitTermination()
-    return _events(v.spark.read.parquet(silver).drop("epoch_id"))
+    return _events(both_layers(v.spark, bronze, silver))
 
 
 @query("stream_landing", "select * from payment_events", "payment_events")
@@ -108,31 +109,27 @@ def refresh_reference(v):
     payments, _ = _stored_stream(v, _payments(v), "payments")
     path, checkpoint = fresh_folder(v.spark, "enriched"), fresh_folder(v.spark, "checkpoint")
     L.start_enrichment(payments, lambda: _profiles(v), path, checkpoint, interval=None).awaitTermination()
-    return _plain(v.spark.read.parquet(path).drop("epoch_id"))
+    return _plain(v.spark.read.parquet(path).drop("run_id", "epoch_id"))
 
 
-_finished: dict[tuple[str, str], str] = {}
 _SENTINEL = "closing event"
 
 
 def _matched_stream(v):
-    """Result of the label stream over all payments, run once per session and folder.
+    """Result of the label stream over all payments and labels.
 
     All data first; then a closing event on both sides moves the watermark past
     everything that waits.
     """
-    key = (v.spark.sparkContext.applicationId, v.folder)
-    if key not in _finished:
-        payments, payment_folder = _stored_stream(v, L.enrich(_payments(v), _profiles(v)), "payments")
-        labels, label_folder = _stored_stream(v, _labels(v), "labels")
-        path, checkpoint = fresh_folder(v.spark, "final"), fresh_folder(v.spark, "checkpoint")
-        with stateful_stream(v.spark, 8):
-            L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
-            _close(v, payment_folder, payments.schema, "timestamp")
-            _close(v, label_folder, labels.schema, "label_ts")
-            L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
-        _finished[key] = path
-    found = v.spark.read.parquet(_finished[key]).filter(F.col("payment_id") != _SENTINEL)
+    payments, payment_folder = _stored_stream(v, L.enrich(_payments(v), _profiles(v)), "payments")
+    labels, label_folder = _stored_stream(v, _labels(v), "labels")
+    path, checkpoint = fresh_folder(v.spark, "final"), fresh_folder(v.spark, "checkpoint")
+    with stateful_stream(v.spark, 8):
+        L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
+        _close(v, payment_folder, payments.schema, "timestamp")
+        _close(v, label_folder, labels.schema, "label_ts")
+        L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
+    found = v.spark.read.parquet(path).filter(F.col("payment_id") != _SENTINEL)
     return _plain(found.withColumn("outcome", F.col("outcome").cast("string")))
 
 

@@ -84,6 +84,16 @@ def test_retry_of_a_micro_batch_adds_nothing(spark, frame, tmp_path):
     assert rows(spark.read.parquet(path).select("a")) == [(1,), (2,)]
 
 
+def test_a_new_checkpoint_keeps_the_rows_of_the_old_one(spark, feed, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    for name, batch in (("a", [message(1)]), ("b", [message(2), message(3)])):
+        stream = feed(*batch)
+        layers.start_bronze_silver(stream, bronze, silver, str(tmp_path / name), interval=None).awaitTermination()
+    for layer in (bronze, silver):
+        assert {r.transaction_id for r in spark.read.parquet(layer).collect()} >= {"t1", "t2", "t3"}
+    assert layers.run_of(spark, str(tmp_path / "a")) != layers.run_of(spark, str(tmp_path / "b"))
+
+
 def test_trigger():
     assert layers._trigger("1 minute") == {"processingTime": "1 minute"}
     assert layers._trigger(None) == {"availableNow": True}
@@ -127,6 +137,18 @@ WANT = {
 }
 
 
+# Further labels of payments: the first again, a second in time, one before the payment.
+SECOND = [
+    LABELS[0],
+    ("in_time", "Later Label", date(2024, 5, 3), at(3)),
+    ("at_limit", "Early", date(2024, 5, 3), at(0)),
+    ("early_label", "Earlier", date(2024, 5, 3), at(18)),
+]
+LATE_IDS = sorted(
+    ["at_limit", "early_label", "early_label", "in_time", "in_time", "no_label_time", "no_time", "too_late", "unknown"]
+)
+
+
 def profiles(frame):
     accounts = frame([("a1", date(2022, 1, 15)), ("a2", date(2023, 1, 1))], "account_id string, opening_date date")
     return L.account_profiles(accounts, frame([("a2", 1), ("a2", 0)], "account_id string, risk_flag int"))
@@ -149,8 +171,10 @@ def test_reconcile_batch(frame):
     assert outcome(L.reconcile_batch(payments, labels, "3 seconds")) == WANT
     late = {r.payment_id for r in L.late_labels(payments, labels, "3 seconds").collect()}
     assert late == {"too_late", "unknown", "early_label", "no_label_time", "no_time"}
-    second = frame(LABELS + [("in_time", "Later Label", date(2024, 5, 3), at(3))], LABEL)
+    second = frame(LABELS + SECOND, LABEL)
     assert outcome(L.reconcile_batch(payments, second, "3 seconds")) == WANT
+    late = [r.payment_id for r in L.late_labels(payments, second, "3 seconds").collect()]
+    assert sorted(late) == LATE_IDS
 
 
 @pytest.mark.parametrize("large_state", [False, True])
@@ -171,10 +195,10 @@ def test_stream_equals_batch(spark, frame, tmp_path, large_state):
             ).awaitTermination()
 
     add("payments", PAYMENTS[:2], PAYMENT)
-    add("labels", LABELS[:1] + [LABELS[0]], LABEL)  # the same label twice
+    add("labels", [LABELS[0], SECOND[0], SECOND[2]], LABEL)
     run()
     add("payments", PAYMENTS[2:], PAYMENT)
-    add("labels", LABELS[1:], LABEL)
+    add("labels", [SECOND[1], SECOND[3], *LABELS[1:]], LABEL)
     run()
     add("payments", [("end", None, None, None, at(10_000))], PAYMENT)
     add("labels", [("end too", None, None, at(10_000))], LABEL)
@@ -185,7 +209,7 @@ def test_stream_equals_batch(spark, frame, tmp_path, large_state):
     finals = found.filter("outcome <> 'late_label' and payment_id <> 'end'")
     assert outcome(finals) == WANT and finals.count() == len(WANT)
     late = [r.payment_id for r in found.filter("outcome = 'late_label'").collect()]
-    assert sorted(late) == ["early_label", "no_label_time", "no_time", "too_late", "unknown"]
+    assert sorted(late) == LATE_IDS
 
 
 def test_reference_data_is_loaded_for_every_batch(spark, frame, tmp_path):

@@ -1,8 +1,9 @@
 """Payments matched to delayed fraud labels, as a stream and as a batch.
 
-A label that arrives no later than ``timeout`` after its payment makes the
-payment fraud; a payment without one becomes not fraud when the timeout has
-passed; a label without such a payment is late and changes nothing. Time is
+The earliest label that comes no later than ``timeout`` after its payment makes
+the payment fraud; a payment without one becomes not fraud when the timeout has
+passed. Every other label, further ones of the payment too, is late and changes
+nothing. Time is
 event time, so a rerun gives the same result, and the waiting payments live in
 the checkpointed state store.
 """
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.streaming.layers import _trigger, append_micro_batch
+from tidemark.streaming.layers import _trigger, append_micro_batch, run_of
 
 MATCHED, TIMED_OUT, LATE = "matched", "timed_out", "late_label"
 ENRICHED = ("src_opening_date", "dest_opening_date", "src_risk_flag", "dest_risk_flag")
@@ -46,9 +47,10 @@ def start_enrichment(
     payments: DataFrame, load_profiles: Callable[[], DataFrame], path: str, checkpoint: str, interval: str | None = "1 minute"
 ):
     """Enriched payments into a Parquet folder; the profiles are loaded anew for every micro-batch."""
+    run = run_of(payments.sparkSession, checkpoint)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        append_micro_batch(enrich(batch, load_profiles()), epoch, path)
+        append_micro_batch(enrich(batch, load_profiles()), epoch, path, run)
 
     return (
         payments.writeStream.foreachBatch(write)
@@ -73,25 +75,46 @@ def _label_side(labels: DataFrame) -> DataFrame:
     )
 
 
+LABEL = ("label_ts", "fraud_type", "fraud_reported_date")
+
+
 def match_labels(payments: DataFrame, labels: DataFrame, timeout: str, delay: str = "0 seconds") -> DataFrame:
     """Streams of payments and labels to final records, with ``outcome`` telling the case.
 
-    A full outer join with watermarks: a pair is emitted when it meets, either
-    side alone once the watermark rules out a partner. The first label of a
-    payment to arrive counts. Both sides may be out of order by ``delay``.
-    The last payments wait until the watermark moves on: later events, or a
-    closing event far ahead on both sides, release them. Rows without a time
-    cannot meet a partner and would wait for ever, so they pass beside the join.
+    Payments meet all their labels in time in an outer join with watermarks; then
+    the labels of a payment are gathered until no more can come, the earliest makes
+    the record and the others are late. Equal payments are one record. Labels
+    without a payment come from a join of their own. Both sides may be out of order
+    by ``delay``. The last payments wait until the watermark moves on: later events,
+    or a closing event far ahead on both sides, release them. Rows without a time
+    cannot meet a partner and would wait for ever, so they pass beside the joins.
     """
     timed = payments.filter("timestamp is not null").withWatermark("timestamp", delay)
-    first_labels = (
-        labels.filter("label_ts is not null")
-        .withWatermark("label_ts", delay)
-        .dropDuplicatesWithinWatermark(["payment_id"])
+    side = _label_side(labels.filter("label_ts is not null").withWatermark("label_ts", delay))
+    label = F.when(F.col("_label_payment").isNotNull(), F.struct(*LABEL))
+    gathered = (
+        timed.join(side, _in_time(timeout), "left")
+        .groupBy(*payments.columns)
+        .agg(F.sort_array(F.collect_list(label)).alias("_labels"))
+    )
+    others = [c for c in payments.columns if c != "payment_id"]
+    late = F.transform(F.slice("_labels", 2, F.greatest(F.size("_labels") - 1, F.lit(0))), lambda x: F.struct(F.lit(False).alias("first"), x.alias("label")))
+    first = F.array(F.struct(F.lit(True).alias("first"), F.get("_labels", F.lit(0)).alias("label")))
+    each = gathered.withColumn("_each", F.explode(F.concat(first, late)))
+    is_first = F.col("_each.first")
+    finals = _final_records(
+        each.select(
+            F.when(is_first, F.col("payment_id")).alias("payment_id"),
+            *(F.when(is_first, F.col(c)).alias(c) for c in others),
+            F.when(F.col("_each.label").isNotNull(), F.col("payment_id")).alias("_label_payment"),
+            "_each.label.fraud_type",
+            "_each.label.fraud_reported_date",
+        ),
+        payments.columns,
     )
-    joined = timed.join(_label_side(first_labels), _in_time(timeout), "full")
-    finals = _final_records(joined, payments.columns)
-    return finals.unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
+    alone = side.join(timed, _in_time(timeout), "left").filter("payment_id is null")
+    alone = _final_records(alone, payments.columns)
+    return finals.unionByName(alone).unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
 
 
 def _untimed_payments(payments: DataFrame) -> DataFrame:
@@ -164,10 +187,18 @@ def reconcile_batch(payments: DataFrame, labels: DataFrame, timeout: str) -> Dat
 
 
 def late_labels(payments: DataFrame, labels: DataFrame, timeout: str) -> DataFrame:
-    """Labels, from tables, without a payment they are in time for."""
-    side = payments.select(F.col("payment_id").alias("_paid"), F.col("timestamp").alias("_at"))
-    limit = F.col("_at") + F.expr(f"interval {timeout}")
-    in_time = (
-        (F.col("payment_id") == F.col("_paid")) & (F.col("label_ts") >= F.col("_at")) & (F.col("label_ts") <= limit)
+    """Labels, from tables, that aren't the earliest in time of a payment.
+
+    Equal labels are counted: one of them can be the earliest, the others are late.
+    """
+    keys = payments.select("payment_id", "timestamp").distinct()
+    earliest = F.min(F.struct(*LABEL)).alias("_label")
+    used = _label_side(labels).join(keys, _in_time(timeout)).groupBy("payment_id", "timestamp").agg(earliest)
+    used = used.groupBy("payment_id", "_label").agg(F.count("*").alias("_used"))
+    counted = labels.groupBy("payment_id", F.struct(*LABEL).alias("_label")).agg(F.count("*").alias("_n"))
+    same = (counted["payment_id"] == used["payment_id"]) & counted["_label"].eqNullSafe(used["_label"])
+    left = counted.join(used, same, "left").select(
+        counted["payment_id"], counted["_label"], (F.col("_n") - F.coalesce("_used", F.lit(0))).alias("_n")
     )
-    return labels.join(side, in_time, "left_anti")
+    copies = left.filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    return copies.select("payment_id", "_label.*").select(*labels.columns)

@@ -1,30 +1,48 @@
 """Event stream into lake layers."""
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.risk import amount_risk_score
 from tidemark.sources.events import parse_payment_events
 
-EPOCH = "epoch_id"
+RUN, EPOCH = "run_id", "epoch_id"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that owns a checkpoint, written into it once.
+
+    Epochs count from 0 again under a new checkpoint; the run's id keeps its
+    micro-batches apart from those of earlier runs.
+    """
+    path = f"{checkpoint}/run"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException:  # no such path yet
+        run = uuid.uuid4().hex
+        spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(path)
+        return run
 
 
-def append_micro_batch(batch: DataFrame, epoch: int, path: str) -> None:
+def append_micro_batch(batch: DataFrame, epoch: int, path: str, run: str = "0") -> None:
     """Add one micro-batch to a Parquet layer.
 
     The batch has its own partition folder and overwrites it, so a retry after a
     failure does not add rows twice.
     """
-    batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+    batch.write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{EPOCH}={epoch}")
 
 
-def write_layers(batch: DataFrame, epoch: int, bronze: str, silver: str) -> None:
+def write_layers(batch: DataFrame, epoch: int, bronze: str, silver: str, run: str = "0") -> None:
     """One micro-batch into both layers; the source is read once."""
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        append_micro_batch(batch.withColumn("processing_ts", F.current_timestamp()), epoch, bronze)
-        append_micro_batch(amount_risk_score(batch), epoch, silver)
+        append_micro_batch(batch.withColumn("processing_ts", F.current_timestamp()), epoch, bronze, run)
+        append_micro_batch(amount_risk_score(batch), epoch, silver, run)
     finally:
         batch.unpersist()
 
@@ -40,9 +58,9 @@ def start_bronze_silver(
 
     Without an interval the query works off what is there and stops.
     """
-    events = parse_payment_events(messages)
+    events, run = parse_payment_events(messages), run_of(messages.sparkSession, checkpoint)
     return (
-        events.writeStream.foreachBatch(lambda batch, epoch: write_layers(batch, epoch, bronze, silver))
+        events.writeStream.foreachBatch(lambda batch, epoch: write_layers(batch, epoch, bronze, silver, run))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
         .start()
