@@ -42,6 +42,21 @@ def test_adjacent_values_match_brute_force(frame, ahead, hot_rows):
     assert got == neighbours_by_hand(data, ahead)
 
 
+def test_blocks_cut_text_with_a_shared_start_and_equal_first_columns(spark):
+    texts = spark.range(20_000).selectExpr("'g' as g", "concat('account_', lpad(id, 12, '0')) as v", "1L as _copies")
+    same = spark.range(20_000).selectExpr("'g' as g", "date'2020-01-01' as first", "id as second", "1L as _copies")
+    for df, order in ((texts, ["v"]), (same, ["first", "second"])):
+        sizes = [r["count"] for r in skew.in_blocks(df, ["g"], order, 10).groupBy("_block").count().collect()]
+        assert len(sizes) == 10 and max(sizes) < 2.5 * 2_000
+
+
+def test_adjacent_text_with_a_shared_start(frame):
+    data = [("hot", f"account_{i % 90:08}") for i in range(200)]
+    found, _ = skew.adjacent_values(frame(data, "g string, v string"), ["g"], ["v"], "v", True, 20)
+    got = Counter((r.g, r.v, r._adjacent, r._edge) for r in skew.replicate(found, "_copies").collect())
+    assert got == neighbours_by_hand(data, True)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     numbers=st.lists(st.one_of(st.none(), st.floats(-50, 50)), min_size=1, max_size=30),

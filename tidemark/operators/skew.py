@@ -4,7 +4,7 @@ Joins leave skew to adaptive execution, which splits an oversized partition of
 the outer side at run time. Ordered windows have no such help: a window over a
 group runs in one task however large the group is. The helpers here find the
 few groups that are too large by a count (combined map-side), cut them into
-blocks along the order column, and stitch the block edges together.
+blocks along the order columns, and stitch the block edges together.
 """
 
 import math
@@ -82,6 +82,18 @@ def _ordering(columns, ahead: bool):
     return [F.col(c).asc_nulls_last() if ahead else F.col(c).desc_nulls_first() for c in columns]
 
 
+def in_blocks(df: DataFrame, groups: list[str], order: list[str], blocks: int, ahead: bool = True) -> DataFrame:
+    """Distinct rows with ``_block``, rising along the order: ranges of about equal size.
+
+    Spark draws the ranges over all group and order columns of any type, so rows
+    that agree in the first column, or in how their text begins, are cut too, and
+    no bound travels in the plan. Written down, since the cut must stay the same.
+    """
+    ranges = [F.col(g).asc_nulls_first() for g in groups] + _ordering(order, ahead)
+    placed = df.repartitionByRange(max(2, blocks), *ranges).withColumn("_block", F.spark_partition_id())
+    return staged(df.sparkSession, "blocks")(placed)
+
+
 def adjacent_values(
     df: DataFrame, groups: list[str], order: list[str], carry: str, ahead: bool = True, hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, bool]:
@@ -112,20 +124,16 @@ def adjacent_values(
     else:
         hot, cold = rows, rows.limit(0)
 
-    blocks = 2 * math.ceil(hot_total.n / hot_rows)
-    number = as_number(F.col(order[0]), rows.schema[order[0]].dataType)
-    bounds = quantile_bounds(hot, number, blocks)
     # Copies of one row collapse before the shuffle, so a group of equal rows is one row.
     distinct = hot.groupBy(*groups, *order).agg(F.count("*").alias("_copies"))
-    block = block_of(number, bounds)
-    distinct = distinct.withColumn("_block", block if ahead else -block)
+    distinct = in_blocks(distinct, groups, order, 2 * math.ceil(hot_total.n / hot_rows), ahead)
 
     inside = Window.partitionBy(*groups, "_block").orderBy(*_ordering(order, ahead))
     within = distinct.withColumn("_next", F.lead(F.struct(carry)).over(inside)).withColumn(
         "_first", F.first(F.struct(carry)).over(inside)
     )
     middle = within.filter(F.col("_next").isNotNull()).drop("_first", "_block")
-    # One row per block is left; a group has at most MAX_BLOCKS + 1 of them.
+    # One row per block and group is left.
     across = Window.partitionBy(*groups).orderBy("_block")
     last = within.filter(F.col("_next").isNull()).withColumn("_next", F.lead("_first").over(across))
     stitched = middle.unionByName(last.select(*middle.columns))
