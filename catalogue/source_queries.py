@@ -107,8 +107,18 @@ def materialized(v):
     return materialize_table(materialize_table(first, table, folder=shared_folder(v.spark)).select("*"), table, folder=shared_folder(v.spark))
 
 
-@query("store_failures", "select o_orderkey, o_totalprice from orders where not (o_totalprice > 100000)")
+@query(
+    "store_failures",
+    """select o_orderkey, o_totalprice, kept from orders cross join (values ('view'), ('table')) k(kept)
+       where not (o_totalprice > 100000)""",
+)
 def kept_failures(v):
-    name = f"tm_{uuid.uuid4().hex}"
-    store_failures(Q.expression_is_true(v.orders.select("o_orderkey", "o_totalprice"), "> 100000", "o_totalprice"), name, as_view=True)
-    return v.spark.table(name)
+    """Both forms: a view that is computed on use, and a stored table."""
+    found = None
+    for kept in ("view", "table"):
+        name = f"tm_{uuid.uuid4().hex}"
+        failing = Q.expression_is_true(v.orders.select("o_orderkey", "o_totalprice"), "> 100000", "o_totalprice")
+        store_failures(failing, name, as_view=kept == "view")
+        rows = v.spark.table(name).withColumn("kept", F.lit(kept))
+        found = rows if found is None else found.unionByName(rows)
+    return found

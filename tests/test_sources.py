@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 
 from conftest import rows
-from tidemark import schemas
+from tidemark import schemas, session
 from tidemark.functions.sql_functions import create_sql_function
 from tidemark.operators.quality import fraud_counts_match
 from tidemark.plans import batch
@@ -40,13 +40,16 @@ def test_consolidate_and_whole_batch(spark, tmp_path):
 
     counts = files.consolidate_batch(spark, str(tmp_path), store)
     assert counts == {"raw_payments": 1, "raw_accounts": 2, "raw_risk_feed": 1, "raw_fraud_cases": 1}
-    report = batch.run_batch(spark, raw, "2024-01-01 00:00:00", "whole_")
+    with pytest.raises(RuntimeError, match="row_count"):
+        batch.run_batch(spark, raw, "2024-01-01 00:00:00", "whole_")
+    report = spark.table("whole_" + batch.REPORT)
     assert {r.test_name for r in report.collect() if r.status != "pass"} == {"row_count"}
     mart = spark.table("whole_" + batch.MART).first()
     assert mart.source_risk_flag is True and mart.destination_risk_flag is False and mart.is_fraud_flag is True
     assert mart.timestamp == datetime(2024, 1, 2, 3, 4, 5)
     # A later run of an unchanged feed leaves the history as it is; the date window cuts the mart.
-    batch.run_batch(spark, raw, "2024-03-01 00:00:00", "whole_", "2025-01-01", "2026-01-01")
+    landed = batch.load_raw(spark, str(tmp_path), "whole_")
+    batch.run_batch(spark, landed, "2024-03-01 00:00:00", "whole_", "2025-01-01", "2026-01-01", stop_on_error=False)
     assert spark.table("whole_" + batch.HISTORY).count() == 1
     assert spark.table("whole_" + batch.MART).count() == 0
     assert fraud_counts_match(spark.table("whole_" + batch.MART), spark.table("whole_stg_fraud_cases")).count() == 1
@@ -73,8 +76,8 @@ class _Calls:
     def __init__(self, plain=None):
         self.made, self.plain, self.write, self.read = [], plain, self, self
 
-    def coalesce(self, n):
-        self.made.append(("coalesce", n))
+    def repartition(self, n):
+        self.made.append(("repartition", n))
         return self
 
     def jdbc(self, **options):
@@ -85,17 +88,31 @@ class _Calls:
 def test_jdbc_write_overwrites_with_few_connections():
     calls = _Calls()
     jdbc.write_jdbc(calls, "jdbc:x", "t", {"user": "u"}, connections=3)
-    assert calls.made == [("coalesce", 3), {"url": "jdbc:x", "table": "t", "mode": "overwrite", "properties": {"user": "u"}}]
+    assert calls.made == [("repartition", 3), {"url": "jdbc:x", "table": "t", "mode": "overwrite", "properties": {"user": "u"}}]
 
 
 def test_jdbc_read_splits_by_the_range_of_a_column(spark):
-    calls = _Calls(spark.range(5, 15))
+    calls = _Calls(spark.sql("select 5 as low, 14 as high"))
     jdbc.read_jdbc(calls, "jdbc:x", "t", {}, split_column="id", partitions=4)
-    last = calls.made[-1]
+    first, last = calls.made
+    assert first["table"] == "(select min(id) as low, max(id) as high from t) bounds"
     assert (last["lowerBound"], last["upperBound"], last["numPartitions"], last["column"]) == ("5", "14", 4, "id")
-    calls = _Calls(spark.range(0))
+    calls = _Calls(spark.sql("select null as low, null as high"))
     jdbc.read_jdbc(calls, "jdbc:x", "t", {}, split_column="id")
-    assert len(calls.made) == 1
+    assert calls.made[-1] == {"url": "jdbc:x", "table": "t", "properties": {}}
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        master = "local-cluster[2,1,1024]"
+
+    class Session:
+        conf, sparkContext = {}, Cluster()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_folder(Session())
+    Cluster.master = "local[2]"
+    assert session.shared_folder(Session())
 
 
 def test_sql_function(spark):

@@ -32,14 +32,16 @@ def run_test(
 
 @dataclass(frozen=True)
 class TableTest:
-    """A declared test: either a row condition of failing rows, or a function to failing rows.
+    """A declared test: a row condition of failing rows, an aggregate that counts
+    failures, or a function to failing rows.
 
-    Tests given by ``row_fails`` share one scan of the table.
+    Tests given by ``row_fails`` or ``failures`` share one scan of the table.
     """
 
     name: str
     table: str
     row_fails: Column | None = None
+    failures: Column | None = None
     failing: Callable[[dict[str, DataFrame]], DataFrame] | None = None
     fail_calc: str = "count(*)"
     severity: str = "error"
@@ -56,15 +58,20 @@ def _verdicts(counts: DataFrame) -> DataFrame:
 def run_suite(tables: dict[str, DataFrame], tests: list[TableTest]) -> DataFrame:
     """Report with one row per test: table_name, test_name, severity, failures, status.
 
-    All row conditions on a table become sums of one aggregate, whatever their
-    number; the other tests run as their own branches of one union.
+    All row conditions and aggregates on a table become one aggregation, whatever
+    their number; the other tests run as their own branches of one union.
     """
     parts = []
     for table in dict.fromkeys(t.table for t in tests):
-        fused = [t for t in tests if t.table == table and t.row_fails is not None]
+        fused = [t for t in tests if t.table == table and t.failing is None]
         if fused:
             sums = []
             for i, t in enumerate(fused):
+                if t.failures is not None:
+                    if t.where:
+                        raise ValueError(f"{t.name}: an aggregate takes no filter")
+                    sums.append(F.coalesce(t.failures, F.lit(0)).cast("long").alias(f"_{i}"))
+                    continue
                 fails = t.row_fails & F.expr(t.where) if t.where else t.row_fails
                 sums.append(F.coalesce(F.sum(F.when(fails, 1)), F.lit(0)).cast("long").alias(f"_{i}"))
             labels = [

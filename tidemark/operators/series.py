@@ -43,36 +43,28 @@ def date_spine_over(df: DataFrame, column: str, part: str) -> DataFrame:
     return date_spine(df.sparkSession, part, span.a, span.b)
 
 
-def _parse(text: str, form: str) -> datetime:
-    try:
-        return datetime.strptime(text.strip(), form)
-    except ValueError as error:
-        raise ValueError(f"partition date {text!r} does not match the format {form!r}") from error
+def day_span(raw: str, date_fmt: str = "%Y%m%d") -> tuple[date, date]:
+    """First and last day of ``"first"`` or ``"first,last"``."""
+    first, *more = (datetime.strptime(part.strip(), date_fmt).date() for part in str(raw).split(","))
+    last = more[0] if more else first
+    if len(more) > 1 or first > last:
+        raise ValueError(f"not a span of days: {raw!r}")
+    return first, last
 
 
-def dates_in_range(start: str, end: str | None = None, in_fmt: str = "%Y%m%d", out_fmt: str | None = "%Y%m%d") -> list:
-    """Labels of all days from start to end, both included (a short list for partition filters)."""
-    first, last = _parse(start, in_fmt), _parse(start if end is None else end, in_fmt)
-    if last < first:
-        raise ValueError(f"partition start date is after the end date ({first}, {last})")
-    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-    return [day.strftime(out_fmt) for day in days] if out_fmt else days
+def dates_in_range(start: str, end: str | None = None, in_fmt: str = "%Y%m%d", out_fmt: str = "%Y%m%d") -> list[str]:
+    """Labels of the days from start to end, both included (a short list for partition filters)."""
+    first, last = day_span(start if end is None else f"{start},{end}", in_fmt)
+    return [date.fromordinal(n).strftime(out_fmt) for n in range(first.toordinal(), last.toordinal() + 1)]
 
 
-def partition_range(raw: str, date_fmt: str = "%Y%m%d") -> list:
-    """Day labels for ``"start"`` or ``"start,end"``."""
-    parts = str(raw).split(",")
-    if len(parts) > 2:
-        raise ValueError(f"expected {{start}}[,{{end}}], got {raw!r}")
-    return dates_in_range(parts[0], parts[1] if len(parts) == 2 else None, in_fmt=date_fmt)
+def partition_range(raw: str, date_fmt: str = "%Y%m%d") -> list[str]:
+    """Labels of the days of a span, in the span's own format."""
+    return dates_in_range(raw, in_fmt=date_fmt, out_fmt=date_fmt)
 
 
 def read_days(df: DataFrame, column: str, raw: str, date_fmt: str = "%Y%m%d") -> DataFrame:
-    """Rows of the days in a partition range; a plain half-open filter, so the scan can skip files."""
-    days = [_parse(day, date_fmt) for day in partition_range(raw, date_fmt)]
-    low, high = days[0].date(), days[-1].date() + timedelta(days=1)
-    return df.filter((F.col(column) >= F.lit(_midnight(low))) & (F.col(column) < F.lit(_midnight(high))))
-
-
-def _midnight(day: date) -> str:
-    return f"{day.isoformat()} 00:00:00"
+    """Rows of the days in a span; a plain half-open filter, so the scan can skip files."""
+    first, last = day_span(raw, date_fmt)
+    low, high = (F.lit(f"{day.isoformat()} 00:00:00") for day in (first, last + timedelta(days=1)))
+    return df.filter((F.col(column) >= low) & (F.col(column) < high))

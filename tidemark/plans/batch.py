@@ -8,6 +8,7 @@ from tidemark.plans import staging
 from tidemark.plans.checks import MART, declared_tests
 from tidemark.plans.mart import unified_payment_intelligence
 from tidemark.plans.risk import RISK_RULES, risk_flagging
+from tidemark.sources.files import consolidate_batch
 from tidemark.sources.tables import materialize_table, run_snapshot
 
 STAGING = {
@@ -16,7 +17,7 @@ STAGING = {
     "stg_risk_feed": ("raw_risk_feed", staging.stg_risk_feed),
     "stg_fraud_cases": ("raw_fraud_cases", staging.stg_fraud_cases),
 }
-HISTORY = "account_risk_snapshot"
+HISTORY, REPORT = "account_risk_snapshot", "test_report"
 
 
 def stage_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -31,12 +32,14 @@ def run_batch(
     start_date=None,
     end_date=None,
     folder: str | None = None,
+    stop_on_error: bool = True,
 ) -> DataFrame:
-    """Run all steps in order against stored tables and return the test report.
+    """Run all steps in order against stored tables and return the stored test report.
 
-    ``raw`` holds the four raw tables, ``schema`` is put before the table names
-    (``"mart_db."``). A failing test of severity error does not stop the run; it
-    is in the report.
+    ``raw`` holds the four raw tables (``load_raw`` reads landed files), ``schema``
+    is put before the table names (``"mart_db."``). The tests are run and their
+    report stored; then a failing test of severity error ends the run, unless
+    ``stop_on_error`` is off.
     """
     stored = {name: materialize_table(df, schema + name, folder=folder) for name, df in stage_tables(raw).items()}
     flagged = risk_flagging(stored["stg_risk_feed"])
@@ -45,7 +48,23 @@ def run_batch(
         stored["stg_payments"], stored["stg_accounts"], history, stored["stg_fraud_cases"], start_date, end_date
     )
     stored[MART] = materialize_table(mart, schema + MART, folder=folder)
-    return run_suite(stored, declared_tests())
+    report = materialize_table(run_suite(stored, declared_tests()), schema + REPORT, folder=folder)
+    failed = [r.test_name for r in report.filter("status = 'error'").select("test_name").collect()]
+    if failed and stop_on_error:
+        raise RuntimeError(f"data tests failed: {', '.join(sorted(failed))}")
+    return report
+
+
+def load_raw(spark: SparkSession, landed: str, schema: str = "", folder: str | None = None) -> dict[str, DataFrame]:
+    """The landed files as stored raw tables; the first error ends the load."""
+    loaded = {}
+
+    def store(df, table):
+        loaded[table] = materialize_table(df, schema + table, folder=folder)
+        return loaded[table]
+
+    consolidate_batch(spark, landed, store)
+    return loaded
 
 
 def date_range_rebuild(stored_mart: DataFrame, rebuilt: DataFrame, start_date: str, end_date: str) -> DataFrame:

@@ -49,10 +49,15 @@ def runtime_settings(spark: SparkSession, **settings):
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    All executors see it. Only where the setting is missing (tests on one
-    machine) a temporary folder takes its place.
+    All executors see it. Only on a single machine, as in tests, a temporary folder
+    may take its place; on a cluster a missing setting is an error.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _folder_of_this_machine()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _folder_of_this_machine()
 
 
 @cache

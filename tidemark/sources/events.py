@@ -19,13 +19,23 @@ KAFKA_OPTIONS = {
 
 
 def kafka_options(
-    servers: str, topic: str = "paymentevents", starting_offsets: str = "earliest", group: str | None = None, **more
+    servers: str,
+    topic: str = "paymentevents",
+    starting_offsets: str = "earliest",
+    group: str | None = None,
+    most_per_trigger: int = 1_000_000,
+    **more,
 ) -> dict[str, str]:
-    """Options of a Kafka source; ``starting_offsets`` is ``earliest`` or ``latest``."""
+    """Options of a Kafka source; ``starting_offsets`` is ``earliest`` or ``latest``.
+
+    ``most_per_trigger`` bounds the messages of a micro-batch; else the first one
+    from ``earliest`` would be the whole topic.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
+        "maxOffsetsPerTrigger": str(most_per_trigger),
         **KAFKA_OPTIONS,
     }
     if group:
