@@ -10,7 +10,7 @@ from tidemark.operators import history as H
 from tidemark.operators.relational import deduplicate
 from tidemark.plans import batch, mart, risk, staging
 from tidemark.plans.risk import RISK_RULES
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, staged
 
 
 @query("stg_payments", "select payment_id, source_account_id, destination_account_id, payment_reference, amount, payment_timestamp from payments", "payments")
@@ -191,7 +191,7 @@ def scd2_check(v):
 
 
 _STAMPED = H.HistoryRules(keys=("o_custkey",), updated_at="last_order")
-_RUN1, _RUN2 = "1997-07-01", "1999-07-01"
+_RUN1, _RUN2, _RUN3 = "1997-07-01", "1999-07-01", "2100-01-01"
 
 
 def _accounts_at(v, until):
@@ -203,24 +203,21 @@ def _accounts_at(v, until):
 
 @query(
     "scd2_timestamp",
-    f"""with a as (select * from (select o_custkey, o_orderkey, o_orderdate as last_order,
-                 row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) as rn
-                 from orders where o_orderdate < timestamp '{_RUN1}') t where rn = 1),
-            b as (select * from (select o_custkey, o_orderkey, o_orderdate as last_order,
-                 row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) as rn
-                 from orders where o_orderdate < timestamp '{_RUN2}') t where rn = 1),
-            versions as (
-              select a.o_custkey, a.o_orderkey, a.last_order,
-                     case when b.last_order > a.last_order then b.last_order end as dbt_valid_to from a left join b using (o_custkey)
-              union all
-              select b.o_custkey, b.o_orderkey, b.last_order, cast(null as timestamp) from b left join a using (o_custkey)
-              where a.o_custkey is null or a.last_order < b.last_order)
+    f"""with runs(run) as (values (timestamp '{_RUN1}'), (timestamp '{_RUN2}'), (timestamp '{_RUN3}')),
+            seen as (select run, o_custkey, o_orderkey, o_orderdate as last_order,
+                 row_number() over (partition by run, o_custkey order by o_orderdate desc, o_orderkey) as rn
+                 from orders join runs on o_orderdate < run),
+            versions as (select distinct o_custkey, o_orderkey, last_order from seen where rn = 1)
        select o_custkey, o_orderkey, last_order, md5(coalesce(cast(o_custkey as varchar), '') || '|' || coalesce(cast(last_order as varchar), '')) as dbt_scd_id,
-              last_order as dbt_updated_at, last_order as dbt_valid_from, dbt_valid_to from versions""",
+              last_order as dbt_updated_at, last_order as dbt_valid_from,
+              lead(last_order) over (partition by o_custkey order by last_order) as dbt_valid_to from versions""",
 )
 def scd2_timestamp(v):
-    first = H.snapshot(None, _accounts_at(v, _RUN1), _STAMPED, _RUN1)
-    return H.snapshot(first, _accounts_at(v, _RUN2), _STAMPED, _RUN2)
+    """The last run comes after the newest order, so every order is read."""
+    kept = None
+    for run in (_RUN1, _RUN2, _RUN3):
+        kept = staged(v.spark, "history")(H.snapshot(kept, _accounts_at(v, run), _STAMPED, run))
+    return kept
 
 
 _DROPPING = H.HistoryRules(keys=("account_id",), check=("risk_score",), hard_deletes="invalidate")

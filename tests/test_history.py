@@ -175,3 +175,17 @@ def test_stored_history_leaves_closed_partitions_alone(spark, frame):
     assert versions(tables.run_snapshot(spark, "stored_history", wider, rules, T4)) == versions(expected)
     gone = tables.run_snapshot(spark, "stored_history", wider.limit(0), rules, T4)
     assert gone.filter(F.col(N.VALID_TO).isNull()).count() == 0 and gone.count() == 5
+
+
+def test_deletion_records_are_made_once_and_end_when_the_key_returns(frame):
+    rules = H.HistoryRules(keys=("id",), check=("v",), hard_deletes="new_record")
+    full, without = frame([(1, "a"), (2, "b")], "id int, v string"), frame([(2, "b")], "id int, v string")
+    kept = H.snapshot(None, full, rules, T1)
+    for moment in (T2, T3):
+        kept = H.snapshot(kept, without, rules, moment)
+    flag = rules.meta(N.IS_DELETED)
+    columns = ("id", "v", N.VALID_FROM, N.VALID_TO, flag)
+    want = [(1, "a", T1, T2, "False"), (1, "a", T2, None, "True"), (2, "b", T1, None, "False")]
+    assert versions(kept, *columns) == want
+    back = H.snapshot(kept, full, rules, T4)
+    assert versions(back, *columns) == [want[0], (1, "a", T2, T4, "True"), (1, "a", T4, None, "False"), want[2]]

@@ -158,6 +158,9 @@ def stage_changes(target: DataFrame, source: DataFrame, rules: HistoryRules, as_
     else:
         changed = check_changed(target.columns, source_columns, rules, old, F.col)
 
+    if rules.flags_deletes:  # a key that comes back is a new version, changed or not
+        changed = changed | F.coalesce(old(flag) == "True", F.lit(False))
+
     joined = fresh.filter(has_key).join(old_side, same_key, "left")
     kinds = F.when(matched, F.array(F.lit("insert"), F.lit("update"))).otherwise(F.array(F.lit("insert")))
     moved = joined.filter(~matched | changed).withColumn(N.CHANGE_TYPE, F.explode(kinds))
@@ -183,6 +186,9 @@ def _gone(open_rows, source, rules, as_of, out_columns, has_key) -> DataFrame:
     same_key = F.lit(True)
     for k in rules.keys:
         same_key = same_key & (F.col(k) == F.col(f"_src_{k}"))
+    if rules.flags_deletes and rules.meta(N.IS_DELETED) in open_rows.columns:
+        # A key that is recorded as deleted already gets no further record.
+        open_rows = open_rows.filter(~F.coalesce(F.col(rules.meta(N.IS_DELETED)) == "True", F.lit(False)))
     gone = open_rows.join(present, same_key, "left_anti")
     kinds = ["delete", "insert"] if rules.flags_deletes else ["delete"]
     gone = gone.withColumn(N.CHANGE_TYPE, F.explode(F.array(*[F.lit(k) for k in kinds])))
