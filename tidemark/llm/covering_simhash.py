@@ -89,6 +89,11 @@ def masks(positions: list[int], radius: int) -> list[int]:
     return sorted(found)
 
 
+def near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    # bitwise_count takes the absolute value of signed numbers.
+    return np.bitwise_count((a ^ b).view(np.uint64)) <= radius
+
+
 def linked_forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links (indices) that span the components of distinct fingerprints."""
     open_, found = np.arange(len(prints)), []
@@ -97,12 +102,12 @@ def linked_forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
         queue = [root]
         while queue and len(open_):
             at = queue.pop()
-            near = np.bitwise_count(prints[open_] ^ prints[at]) <= radius
-            if near.any():
-                reached = open_[near]
+            linked = near(prints[open_], prints[at], radius)
+            if linked.any():
+                reached = open_[linked]
                 found.extend((int(at), int(x)) for x in reached)
                 queue.extend(reached)
-                open_ = open_[~near]
+                open_ = open_[~linked]
     return found
 
 
@@ -143,9 +148,9 @@ def _compare(radius: int, most: int | None):
             a, b = [], []
             pairs = starts[sizes == 2]
             x, y = rows[pairs, 4], rows[pairs + 1, 4]
-            near = np.bitwise_count(x ^ y) <= radius
-            a.append(x[near])
-            b.append(y[near])
+            linked = near(x, y, radius)
+            a.append(x[linked])
+            b.append(y[linked])
             large = [s for s, n in zip(starts[sizes > 2], sizes[sizes > 2]) if most and n > most]
             for s, n in zip(starts[sizes > 2], sizes[sizes > 2]):
                 if most and n > most:
