@@ -134,11 +134,14 @@ def union_relations(v):
        from events where event_type <> 'error'""",
 )
 def union_by_pattern(v):
-    events = v.events
-    for kind in ("view", "signup", "click", "error", "purchase"):
+    events, kinds = v.events, ("view", "signup", "click", "error", "purchase")
+    for kind in kinds:
         part = events.filter(F.col("event_type") == kind).select("event_id", "user_id", "value")
         part.createOrReplaceTempView(f"tm_events_{kind}")
-    return R.union_by_pattern(v.spark, "", "TM_EVENTS_%", exclude="%error")
+    union = R.union_by_pattern(v.spark, "", "TM_EVENTS_%", exclude="%error")
+    for kind in kinds:
+        v.spark.catalog.dropTempView(f"tm_events_{kind}")
+    return union
 
 
 @query(

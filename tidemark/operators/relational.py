@@ -160,10 +160,16 @@ def relations_by_pattern(
     Temporary views have no schema; they match an empty one.
     """
     schema_like, table_like, skip = _like(schema_pattern), _like(table_pattern), _like(exclude)
+    # The catalogue narrows the names down where the pattern has only plain characters.
+    plain = re.fullmatch(r"[\w%]*", table_pattern)
+    listed = table_pattern.replace("%", "*").replace("_", ".") if plain else "*"
+    databases = [d.name for d in spark.catalog.listDatabases() if schema_like.fullmatch(d.name)]
+    if schema_like.fullmatch("") and spark.catalog.currentDatabase() not in databases:
+        databases.append(spark.catalog.currentDatabase())  # lists the temporary views
     found = {}
-    for database in spark.catalog.listDatabases():
-        for table in spark.catalog.listTables(database.name):
-            schema = "" if table.isTemporary else database.name
+    for database in databases:
+        for table in spark.catalog.listTables(database, listed):
+            schema = "" if table.isTemporary else database
             if not schema_like.fullmatch(schema) or not table_like.fullmatch(table.name):
                 continue
             if skip.fullmatch(table.name):
