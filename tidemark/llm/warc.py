@@ -42,8 +42,8 @@ def write_captures(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> str:
     refer to it. Rows that share that ``page_id`` too are each a response. A null
     html has an empty payload; a null url has no target; a null ``page_id`` is less
     than any other and leaves no line. Archives are about as large as a shuffle
-    partition (``spark.sql.adaptive.advisoryPartitionSizeInBytes``). An empty table
-    makes a folder without records.
+    partition (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), each one gzip
+    member. An empty table makes a folder without records.
     """
     spark = pages.sparkSession
     html = F.coalesce("html", F.lit(""))
@@ -105,7 +105,7 @@ def write_captures(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> str:
     )
     folder = fresh_folder(spark, "warc")
     records = ids.select(F.explode(F.array(request, response, metadata)).alias("value"))
-    records.write.option("lineSep", CRLF).text(folder)
+    records.write.option("lineSep", CRLF).option("compression", "gzip").text(folder)
     return folder
 
 
