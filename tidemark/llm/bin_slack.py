@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.runtime import remembered
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -33,7 +35,7 @@ class Settings:
     window: int = 4_096
     end: int = 2
     kept: int = 400_000
-    block: int = 1 << 22
+    block: int = 1 << 21
 
 
 @cache
@@ -48,7 +50,9 @@ def tokenizer(path: str):
 
 # Letters whose lower case is one letter of the same set, then ASCII punctuation
 # other than the apostrophe: such a word is split between the two and nowhere else.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# One word a line; no word has a line end.
+WORD_END = "</w>"
+LINE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
 
 
 class WordEncoder:
@@ -56,45 +60,99 @@ class WordEncoder:
 
     The vocabulary has word ends and no pre-token reaches over white space, so a
     text's ids are those of its words. Ids of words are remembered as bytes; words
-    that differ in case or in punctuation after them share what is encoded.
+    that differ in case or in punctuation after them share what is encoded. A Python
+    worker keeps its encoder from task to task.
     """
 
     def __init__(self, path: str, settings: Settings):
         self.tokenizer, self.settings = tokenizer(path), settings
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
 
-    def _learn(self, words: set[bytes]):
-        split = {}
-        for word in words:
-            text = word.decode()
-            simple = SIMPLE.fullmatch(text)
-            split[word] = (simple[1].lower(), simple[2]) if simple else (text, "")
-        new = list({p for pair in split.values() for p in pair if p and p not in self.parts})
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+    def _encoded(self, parts: list[str]):
+        """Each part by itself, as bytes."""
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
             self.parts[part] = np.array(found.ids, "<u4").tobytes()
-        for word, (head, tail) in split.items():
-            self.words[word] = self.parts[head] + (self.parts[tail] if tail else b"")
 
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids, with the closing id."""
-        found, at, block = [], 0, self.settings.block
+    def _encoded_together(self, parts: list[str]):
+        """Parts of one pre-token each in one text, taken apart at the word ends."""
+        for i in range(0, len(parts), 20_000):
+            some = parts[i : i + 20_000]
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(some):
+                self._encoded(some)
+                continue
+            data = ids.tobytes()
+            self.parts.update(zip(some, map(data.__getitem__, map(slice, [0, *stops], stops))))
+
+    def _learn(self, words: list[bytes]):
+        known, simple, other, split = self.parts, set(), set(), []
+        for head, tail, whole in LINE.findall(b"\n".join(words).decode()):
+            if whole:
+                if whole not in known:
+                    other.add(whole)
+                split.append((whole, ""))
+                continue
+            head = head.lower()
+            if head not in known:
+                simple.add(head)
+            if tail and tail not in known:
+                simple.add(tail)
+            split.append((head, tail))
+        self._encoded_together(list(simple))
+        self._encoded(list(other))
+        known[""] = b""
+        self.words.update(zip(words, [known[head] + known[tail] if tail else known[head] for head, tail in split]))
+
+    def _words(self, text: bytes) -> Iterator[list[bytes]]:
+        """The words of one block of text after another."""
+        at, block = 0, self.settings.block
         while at < len(text):
             stop = at + block
             while stop < len(text) and text[stop] not in b" \t\n\r\x0b\x0c":
                 stop += 1
-            words = text[at:stop].split()
+            yield text[at:stop].split()
             at = stop
-            unknown = {w for w in words if w not in self.words}
-            if unknown:
-                if len(self.words) > self.settings.kept:
-                    self.words.clear()
-                    self.parts.clear()
-                    unknown = set(words)
-                self._learn(unknown)
-            found.append(b"".join(map(self.words.__getitem__, words)))
-        found.append(np.array([self.settings.end], "<u4").tobytes())
-        return b"".join(found)
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text, with the closing id.
+
+        Short texts are looked up together, up to a block; longer ones block by block.
+        """
+        end = np.array([self.settings.end], "<u4").tobytes()
+        held, size = [], 0
+        for text in texts:
+            if len(text) > self.settings.block:
+                yield from self._closed(held, end)
+                held, size = [], 0
+                yield b"".join([*(self._looked_up([words])[0] for words in self._words(text)), end])
+                continue
+            held.append(text.split())
+            size += len(text)
+            if size > self.settings.block:
+                yield from self._closed(held, end)
+                held, size = [], 0
+        yield from self._closed(held, end)
+
+    def _closed(self, lists: list[list[bytes]], end: bytes) -> list[bytes]:
+        return [found + end for found in self._looked_up(lists)]
+
+    def _looked_up(self, lists: list[list[bytes]]) -> list[bytes]:
+        known = self.words
+        present = set().union(*lists)
+        unknown = present.difference(known)
+        if unknown:
+            if len(known) > self.settings.kept:
+                known.clear()
+                unknown = present
+            if len(self.parts) > self.settings.kept:
+                self.parts.clear()
+            self._learn(list(unknown))
+        return [b"".join(map(known.__getitem__, words)) for words in lists]
 
 
 def fullest(counts: dict[int, int], lengths: list[int], room: int) -> dict[int, int]:
@@ -154,12 +212,11 @@ def _pieces(path: str, settings: Settings):
     window = settings.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, settings)
+        encoder = remembered(("words", path, settings), lambda: WordEncoder(path, settings))
         for batch in batches:
             rows = []
             source, texts = [], batch["text"]
-            for k in range(len(batch)):
-                ids = encoder.ids(texts[k].as_py())
+            for k, ids in enumerate(encoder.ids(texts.to_pylist())):
                 size = len(ids) // 4
                 for start in range(0, size, window):
                     part = ids[4 * start : 4 * (start + window)]

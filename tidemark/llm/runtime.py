@@ -40,6 +40,20 @@ def _package_archive() -> str:
     return target
 
 
+_remembered: dict = {}
+
+
+def remembered(key, make):
+    """What a Python worker keeps from task to task, such as a table of seen words.
+
+    One thing at a time: a worker serves many steps, and its memory is one task's.
+    """
+    if key not in _remembered:
+        _remembered.clear()
+        _remembered[key] = make()
+    return _remembered[key]
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back: later steps neither repeat the
     work nor depend on executors that may be lost."""
