@@ -15,6 +15,10 @@ and the bytes before it tell all that can be known about the strings around it.
    before the anchors, those that share p bytes to the left. A string that starts p
    bytes before its anchor is repeated if another anchor shares p bytes to the left
    and ``length - p`` to the right.
+
+Suffixes at one gram meet in one task. A gram with more than ``often`` sites is left
+out of the runs: the strings at its anchors are grouped by a 128-bit hash instead,
+which Spark combines before the shuffle.
 """
 
 from collections.abc import Iterator
@@ -45,6 +49,7 @@ class Settings:
     length: int = 200
     run_bytes: int = 48 << 20
     part: int = 40_000
+    often: int = 400_000
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -161,6 +166,37 @@ def _sorted_runs(settings: Settings, parts: int):
     return run
 
 
+def _strings(length: int):
+    """(hash, text, start) of every string at the anchors of frequent grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.stack([batch[k].to_numpy() for k in KEY], 1)
+            for k in range(len(batch)):
+                text = batch["bytes"][k].as_py()
+                starts = [
+                    (place >> 16) - p
+                    for place in batch["often"][k].values.to_numpy().tolist()
+                    for p in range(place & 255, (place >> 8 & 255) + 1)
+                ]
+                digests = b"".join(xxhash.xxh3_128_digest(text[a : a + length]) for a in starts)
+                pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                both = np.broadcast_to(keys[k], (len(starts), 2))
+                columns = [pair[:, 0], pair[:, 1], both[:, 0], both[:, 1], np.array(starts, np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ascontiguousarray(c)) for c in columns], names=["h1", "h2", *KEY, "start"]
+                )
+
+    return run
+
+
+def _frequent_spans(strings: DataFrame, length: int) -> DataFrame:
+    site = F.xxhash64(*KEY, "start")
+    twice = strings.groupBy("h1", "h2").agg(F.min(site).alias("least"), F.max(site).alias("most"))
+    twice = stored(twice.where("least <> most").select("h1", "h2"), "repeated-strings")
+    return strings.join(twice, ["h1", "h2"]).select(*KEY, "start", (F.col("start") + length).alias("stop"))
+
+
 def _common_left(a: bytes, b: bytes) -> int:
     """Length of the common ending."""
     if a == b:
@@ -293,19 +329,23 @@ def without_repeats(docs: DataFrame, text: str, settings: Settings = Settings())
         long.mapInArrow(_find_anchors(settings.length), "gram bigint, k1 bigint, k2 bigint, place bigint"), "anchors"
     )
     site = F.shiftright(F.xxhash64(*KEY, "place"), 33).cast("int")
-    twice = found.groupBy("gram").agg(F.min(site).alias("least"), F.max(site).alias("most")).where("least <> most")
-    twice = stored(twice.select("gram"), "repeated-grams")
-    located = stored(
-        found.join(twice, "gram").groupBy(*KEY).agg(F.collect_set("place").alias("places")), "located-anchors"
-    )
+    twice = found.groupBy("gram").agg(F.min(site).alias("least"), F.max(site).alias("most"), F.count("*").alias("sites"))
+    frequent = (F.col("sites") > settings.often).alias("frequent")
+    twice = stored(twice.where("least <> most").select("gram", frequent), "repeated-grams")
+    places = [F.collect_set(F.when(F.col("frequent") == f, F.col("place"))).alias(n) for f, n in ((False, "places"), (True, "often"))]
+    located = stored(found.join(twice, "gram").groupBy(*KEY).agg(*places), "located-anchors")
     total = located.agg(F.sum(F.size("places"))).first()[0] or 0
     parts = max(1, -(-total // settings.part))
     # Copies fold within each task before the shuffle; both joins read that shuffle.
     texts = long.groupBy(*KEY).agg(F.first("bytes").alias("bytes"))
-    runs = texts.join(located, KEY).mapInArrow(_sorted_runs(settings, parts), RUN)
+    runs = texts.join(located.drop("often"), KEY).mapInArrow(_sorted_runs(settings, parts), RUN)
     merged = runs.repartition("part").sortWithinPartitions("part").mapInArrow(
         _merge(settings), "k1 bigint, k2 bigint, start bigint, stop bigint"
     )
+    if not twice.where("frequent").isEmpty():
+        rows = texts.join(located.drop("places").where(F.size("often") > 0), KEY)
+        strings = rows.mapInArrow(_strings(settings.length), "h1 bigint, h2 bigint, k1 bigint, k2 bigint, start bigint")
+        merged = merged.unionByName(_frequent_spans(strings, settings.length))
     spans = merged.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return texts.join(spans, KEY).mapInArrow(
         _cut, "k1 bigint, k2 bigint, kept binary, spans array<struct<start:bigint,stop:bigint>>"

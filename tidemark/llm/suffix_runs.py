@@ -20,7 +20,7 @@ def common_in_order(strings: list[bytes]) -> np.ndarray:
     """Common prefix of each sorted string with the one before it (0 for the first)."""
     found = np.zeros(len(strings), np.int32)
     width = max(map(len, strings), default=0)
-    for begin in range(0, len(strings) - 1, 4_096):
+    for begin in range(0, len(strings) - 1 if width else 0, 4_096):
         part = strings[begin : begin + 4_097]
         grid = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in part), np.uint8).reshape(len(part), width)
         differ = grid[1:] != grid[:-1]
