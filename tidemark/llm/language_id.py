@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import stored
+from tidemark.llm.runtime import remembered, stored
 
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 START = "▁"
@@ -42,7 +42,7 @@ class Settings:
     rounds: int = 2
     added: float = 0.02
     longest: int = 32
-    kept_words: int = 400_000
+    kept_words: int = 250_000
 
 
 @cache
@@ -272,18 +272,10 @@ def fit(labelled: DataFrame, path: str, settings: Settings = Settings()) -> Mode
 class WordScores:
     """Scores of words seen so far; a Python worker keeps them from task to task."""
 
-    latest: "tuple[str, WordScores] | None" = None
-
     def __init__(self, model: Model):
         self.model, self.rows = model, {}
         self.scores = np.zeros((0, len(model.languages)))
 
-    @classmethod
-    def of(cls, name: str, model: Model) -> "WordScores":
-        if cls.latest is None or cls.latest[0] != name:
-            cls.latest = (name, cls(model))
-        return cls.latest[1]
-
     def learn(self, counts: list[Counter]):
         new = {w for c in counts for w in c if w not in self.rows}
         if new and len(self.rows) + len(new) > self.model.settings.kept_words:
@@ -314,7 +306,7 @@ def predict(spark: SparkSession, model: Model, text: str | Column = "text") -> C
 
     def classify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at = shared.value
-        known = WordScores.of(name, at)
+        known = remembered(("scores", name), lambda: WordScores(at))
         for batch in texts:
             langs, values = [], []
             counts = [words_of(t, at.settings.longest) if t else {} for t in batch.to_pylist()]

@@ -14,6 +14,9 @@ from tidemark.llm import bin_slack, compression_bands, covering_simhash, languag
 from tidemark.llm.runtime import stored
 
 LEAST_SCORE = 0.5
+# In a pipeline one worker serves all steps, so each may remember less.
+LANGUAGES = language_id.Settings(kept_words=80_000)
+PACKING = bin_slack.Settings(kept=100_000)
 
 
 def keep_known_language(docs: DataFrame) -> DataFrame:
@@ -24,7 +27,7 @@ def keep_known_language(docs: DataFrame) -> DataFrame:
     letter go.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
-    model = language_id.fit(docs.select(key, "lang", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    model = language_id.fit(docs.select(key, "lang", "text"), public_tokenizers.path("piece_bpe_32k.model"), LANGUAGES)
     guess = language_id.predict(docs.sparkSession, model, "text")
     judged = docs.withColumn("__guess", guess)
     known = (F.col("__guess.lang") != language_id.UNDECIDED) & (F.col("__guess.score") >= LEAST_SCORE)
@@ -93,4 +96,4 @@ def _whole_characters(column: str):
 
 def pack_sequences(docs: DataFrame) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return bin_slack.pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
+    return bin_slack.pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), PACKING)
