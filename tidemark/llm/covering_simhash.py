@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.runtime import stored, utf8
+from tidemark.llm.runtime import forget, stored, utf8
 
 BITS = 64
 LOWER = bytes(range(256)).lower()
@@ -66,6 +66,7 @@ def simhash(text: str | Column = "text", settings: Settings = Settings()) -> Col
     words, seed = settings.words, settings.seed
 
     def compute(texts: pa.Array) -> pa.Array:
+        forget()
         prints = [fingerprint(t.as_py(), words, seed) for t in texts]
         return pa.array(np.array(prints, np.uint64).view(np.int64))
 

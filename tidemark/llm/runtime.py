@@ -54,6 +54,11 @@ def remembered(key, make):
     return _remembered[key]
 
 
+def forget():
+    """Gives back what an earlier step remembered."""
+    _remembered.clear()
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back: later steps neither repeat the
     work nor depend on executors that may be lost."""

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import stored, utf8
+from tidemark.llm.runtime import forget, stored, utf8
 from tidemark.llm.suffix_runs import LoserTree, common_in_order, decoded, front_coded
 
 GRAM = 64
@@ -47,7 +47,7 @@ class Settings:
     are merged together, about."""
 
     length: int = 200
-    run_bytes: int = 48 << 20
+    run_bytes: int = 32 << 20
     part: int = 40_000
     often: int = 400_000
 
@@ -101,6 +101,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int):
 
 def _find_anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = batch["bytes"]
             offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
@@ -146,6 +147,7 @@ def _sorted_runs(settings: Settings, parts: int):
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         entries, held = [], 0
         for batch in batches:
             keys = np.stack([batch[k].to_numpy() for k in KEY], 1)
