@@ -34,7 +34,7 @@ class Settings:
 
     window: int = 4_096
     end: int = 2
-    kept: int = 400_000
+    kept: int = 800_000
     block: int = 1 << 21
 
 
