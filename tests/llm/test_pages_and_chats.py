@@ -129,6 +129,22 @@ def test_extraction_of_awkward_pages(llm_spark):
     assert queries.op10(df.where("page_id = 4")).count() == 1  # no page that names its main text
 
 
+def test_trees_are_fitted_on_different_pages_that_name_their_text(llm_spark, monkeypatch):
+    def record(sources, settings):
+        return sources
+
+    monkeypatch.setattr(html_extraction, "fit_trees", record)
+    plain = [(f"<div><p>no main text {k}</p></div>",) for k in range(40)]
+    empty = [(f"<main></main><p>shell {k}</p><!-- <article>no</article> --><script>'<main>{k}'</script>",) for k in range(40)]
+    copies = [("<body><article><p>copy</p></article></body>",)] * 40
+    named = [(f"<body><MAIN class=x><p>named {k}</p></MAIN></body>",) for k in range(4)]
+    df = llm_spark.createDataFrame([*plain, *empty, *copies, *named, (None,)], "html string")
+    for pages in (5, 3):
+        seen = html_extraction.fit(df, html_extraction.Settings(pages=pages))
+        assert len(seen) == len(set(seen)) == pages and set(seen) <= {*(h for h, in named), copies[0][0]}
+    assert html_extraction.fit(df.where("html like '<div>%'")) in (None, [])
+
+
 def test_boosting_separates_classes():
     rng = np.random.default_rng(6)
     rows = rng.random((2_000, 4)).astype(np.float32)

@@ -5,8 +5,8 @@ parent is: of all such choices the one with the greatest total score is taken, s
 an article isn't kept inside a dropped container nor a menu dropped with an item
 kept. A kept node's own text is written, in page order.
 
-The trees are fitted on a bounded sample of the table's own pages that name their
-main text (an article or main element). Each such page also appears in other
+The trees are fitted on a bounded sample of the table's own different pages that name
+their main text (text in an article or main element). Each such page also appears in other
 layouts: its blocks of main text, marked, among menus, notices, adverts, forms,
 comments and the like, in elements with other names. So the trees learn what
 nodes are like, not one template.
@@ -221,15 +221,31 @@ def kept_nodes(page: dom.Page, scores: list[float]) -> list[bool]:
     return kept
 
 
+def _names_main_text(sources: pa.Array) -> pa.Array:
+    """Whether each page has a block of text labelled as main text."""
+    found = []
+    for source in sources.to_pylist():
+        page = dom.parse(source)
+        labels = named_main_text(page)
+        found.append(labels is not None and any(labels[node] for node, _, _ in page.blocks))
+    return pa.array(found, pa.bool_())
+
+
 def fit(pages: DataFrame, settings: Settings = Settings()) -> boosting.Trees | None:
-    """Fit on a bounded sample of column ``html``: the pages with the least hashes.
+    """Fit on a bounded sample of column ``html``: of the pages that name their main
+    text, copies counted once, those with the least hashes.
 
-    The sample goes to one task, which returns the trees.
+    The sample goes to one task, which returns the trees; None if no page of at most
+    ``page_bytes`` names its main text.
     """
     size = F.octet_length("html")
-    rows = pages.where(F.col("html").isNotNull() & (size <= settings.page_bytes)).select("html")
-    spread = F.xxhash64("html", F.lit(settings.seed))
-    sample = rows.select("html", spread.alias("spread")).orderBy("spread", "html").limit(settings.pages).select("html")
+    spread = F.xxhash64("html", F.lit(settings.seed)).alias("spread")
+    rows = pages.where(F.col("html").isNotNull() & (size <= settings.page_bytes)).select("html", spread)
+    rows = rows.where(F.col("html").rlike("(?i)<(article|main)[\\s/>]"))
+    names = F.arrow_udf(_names_main_text, "boolean")
+    # Only hashes are shuffled; the pages are read again for those of the sample.
+    least = rows.where(names(F.col("html"))).select("spread").distinct().orderBy("spread").limit(settings.pages)
+    sample = rows.join(least, "spread", "left_semi").distinct().orderBy("spread", "html").limit(settings.pages).select("html")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = [t for b in batches for t in b["html"].to_pylist()]
