@@ -118,6 +118,36 @@ def test_parsing_of_broken_html():
     assert [t for _, t, _ in dom.parse("<div>one<p>two</p>three</div>").blocks] == ["one", "two", "three"]
 
 
+def texts(source):
+    return [t for _, t, _ in dom.parse(source).blocks]
+
+
+def test_unclosed_silent_elements_end_with_their_block():
+    article = "<article><p>one</p><p>two</p></article>"
+    for start in ("<label>", "<button>", "<select><option>a<option>b", "<svg><path d=x>", "<video src=x>", "<textarea>", "<iframe src=x>", "<noscript>", "<canvas>"):
+        for page in (f"<div><form>{start}</form></div>{article}", f"<nav>{start}</nav>{article}", f"<body>{start}{article}</body>", f"<body>{start}{article}<p><button>x</button><svg></svg></p>"):
+            assert texts(page)[-2:] == ["one", "two"]
+    assert texts(f"<div><template><p>no</div>{article}") == ["one", "two"]
+    assert texts(f"<head><title>t</head><body>{article}") == ["one", "two"]
+    for inside in ("<title/>", "<style/>", "<title>t", "<g/><path/>"):
+        assert texts(f"<div><svg>{inside}</svg>more</div>{article}") == ["more", "one", "two"]
+        assert texts(f"<div><svg>{inside}</svg></div>{article}<svg><title>t</title></svg>") == ["one", "two"]
+    assert texts(f"<ul><li><button>a<li><button>b</button></ul>{article}")[-2:] == ["one", "two"]
+
+
+def test_closed_silent_elements_hold_no_text():
+    inside = "<div>no<p>no</div>no<p>no"
+    for tag in ("template", "object", "video", "canvas", "button"):
+        assert texts(f"<div>a <{tag}>{inside}</{tag}> b<p>c</p></div>") == ["a b", "c"]
+    assert texts("<p>a <template><article>no</article></template><svg><style>p > q</style><text>no</text></svg>b</p>") == ["a b"]
+    assert texts("<p>a <select><option>no<option>no</select>b <textarea>no</p></textarea>c</p>") == ["a b c"]
+    assert texts("<p>a<script>'<p>no'") == ["a"]
+
+
+def test_labels_and_formulas_are_text():
+    assert texts("<p><label>name</label> is <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> here</p>") == ["name is x=1 here"]
+
+
 def test_extraction_of_awkward_pages(llm_spark):
     body = "<html><body><nav><a href=/>menu</a></nav><article><h1>T</h1><p>Some words, and more of them.</p></article></body></html>"
     rows = [(1, None, None), (2, "u", ""), (None, "u", body), (3, "u", body), (3, "u", body), (4, "u", "<p>" + "word " * 50_000)]

@@ -14,12 +14,18 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 WORD = re.compile(r"[a-z]+")
 
 # What these elements hold is never text of the page.
-SILENT = frozenset("script style noscript template title textarea select button iframe object svg math canvas audio video label".split())
+SILENT = frozenset(
+    "script style noscript template title textarea select button iframe object svg canvas audio video annotation annotation-xml".split()
+)
 RAW = frozenset("script style textarea title iframe noscript".split())
+# A silent element that can stand inside one of its kind.
+NESTS = frozenset("object svg template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike"
-    " strong sub sup time tt u var nobr blink output meter progress".split()
+    " strong sub sup time tt u var nobr blink output meter progress label math semantics mi mn mo ms mtext mspace mrow"
+    " msub msup msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded mphantom merror menclose mmultiscripts"
+    " mprescripts".split()
 )
 # A start tag ends an open element of these kinds.
 ENDS = {
@@ -30,6 +36,8 @@ CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre"
     " section table ul details".split()
 )
+# A start tag of these ends an open button or select, where it can't stand.
+SECTIONS = frozenset("article body main section nav header footer aside form".split())
 SCOPE = frozenset("ul ol dl table td th div article section body main aside nav form blockquote".split())
 TAGS = (
     "article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure figcaption"
@@ -100,10 +108,18 @@ def parse(source: str) -> Page:
     Text of inline elements belongs to the block around them. Missing end tags are
     implied where HTML implies them; an end tag without a start is ignored. Every
     character reference is decoded, and white space is one space.
+
+    A silent element ends at its end tag, at the end of a block around it, or at a
+    start tag of a block that can't stand in it. Without an end tag of its own it
+    holds inline content only and ends at the next block (script and style: the page;
+    template: the block around it). A silent element, and what is open in it, stands
+    on the stack with the node around it.
     """
     page = Page()
     open_: list[tuple[str, int]] = [("", 0)]  # block elements
-    links = silent = 0
+    links = silent = 0  # silent: place on the stack of the first silent element
+    loose = False  # a silent element without an end tag is open
+    tags: dict[tuple[bool, str], tuple[int, int]] = {}
     pieces: list[str] = []
     linked = 0
     children = [0]
@@ -119,8 +135,34 @@ def parse(source: str) -> Page:
         linked = 0
 
     def pop_to(depth: int):
-        flush()
+        nonlocal silent, loose
+        if depth < silent or not silent:
+            flush()
         del open_[depth:]
+        if depth <= silent:
+            silent, loose = 0, False
+
+    def next_tag(tag: str, closing: bool) -> tuple[int, int]:
+        """Where the next tag of this kind starts and ends; past the page without one."""
+        where = tags.get((closing, tag), (-1, 0))
+        if where[0] < at:
+            slash = "/" if closing else ""
+            match = re.compile(rf"<{slash}{tag}(?![^\s/>])[^>]*>", re.IGNORECASE).search(source, at)
+            where = tags[closing, tag] = match.span() if match else (size + 1, size)
+        return where
+
+    def end_silent(tag: str):
+        """End the silent elements in which a block's start tag can't stand."""
+        if loose:
+            pop_to(silent)
+            return
+        for k in range(len(open_) - 1, silent - 1, -1):
+            name = open_[k][0]
+            if name in ("foreignobject", "desc", "title", "template"):
+                return
+            if name == "svg" or (name in ("button", "select") and tag in SECTIONS):
+                pop_to(k)
+                return
 
     while at < size:
         found = TOKEN.search(source, at)
@@ -139,16 +181,33 @@ def parse(source: str) -> Page:
         if tag is None:
             continue
         tag, closing = tag.lower(), found["close"]
+        in_svg = silent and any(name == "svg" for name, _ in open_[silent:])
+        if in_svg and not closing and found["attributes"].endswith("/"):
+            continue
         if tag in SILENT:
             if closing:
-                silent = max(0, silent - 1)
-            elif tag in RAW:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else size
-            elif not found["attributes"].endswith("/"):
-                silent += 1
+                for k in range(len(open_) - 1, silent - 1 if silent else len(open_), -1):
+                    if open_[k][0] == tag:
+                        pop_to(k)
+                        break
+                continue
+            end, after = next_tag(tag, True)
+            if tag in RAW and end < (next_tag("svg", True)[0] if in_svg else size):
+                at = after
+                continue
+            if tag in ("script", "style") and not in_svg:
+                break
+            if found["attributes"].endswith("/") and tag not in RAW:
+                continue
+            if silent and loose and any(name == tag for name, _ in open_[silent:]):
+                pop_to(silent)
+            closed = end < size and (tag in NESTS or tag in RAW or next_tag(tag, False)[0] > end)
+            open_.append((tag, open_[-1][1]))
+            if not silent:
+                silent = len(open_) - 1
+                loose = not closed and tag != "template"
             continue
-        if silent:
+        if silent and (tag in VOID or tag in INLINE):
             continue
         if tag == "br" or tag in VOID:
             if tag == "hr":
@@ -163,19 +222,26 @@ def parse(source: str) -> Page:
         if closing:
             for k in range(len(open_) - 1, 0, -1):
                 if open_[k][0] == tag:
+                    if k < silent or not silent:
+                        links = 0
                     pop_to(k)
-                    links = 0
                     break
             continue
-        flush()
+        if silent and tag in TAG_ID:
+            end_silent(tag)
+        if not silent:
+            flush()
         ends = ENDS.get(tag) or ({"p"} if tag in CLOSES_P else ())
         if ends:
-            for k in range(len(open_) - 1, 0, -1):
+            for k in range(len(open_) - 1, silent, -1):
                 if open_[k][0] in ends:
                     pop_to(k)
                 elif open_[k][0] in SCOPE:
                     break
         up = open_[-1][1]
+        if silent:
+            open_.append((tag, up))
+            continue
         bits, label = _groups(tag, found["attributes"])
         node = len(page.tag)
         page.tag.append(TAG_ID.get(tag, 0))
