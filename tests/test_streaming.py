@@ -212,6 +212,40 @@ def test_stream_equals_batch(spark, frame, tmp_path, large_state):
     assert sorted(late) == LATE_IDS
 
 
+def test_repeated_payments_and_labels_stream_equals_batch(spark, frame, tmp_path):
+    payments = [
+        *[("twice", "a1", "a2", 1.0, at(0))] * 3,
+        ("twice", "a1", "a2", 9.0, at(0)),  # the same moment
+        *[("none", "a1", "a2", 1.0, at(1))] * 2,
+        ("again", "a1", "a2", 1.0, at(0)), ("again", "a1", "a2", 1.0, at(2)),  # a label for each
+        *[("shared", "a1", "a2", 1.0, at(k)) for k in range(2)],  # one label for both
+        *[("untimed", "a1", "a2", 1.0, None)] * 2,
+        (None, "a1", "a2", 1.0, at(1)),
+    ]
+    labels = [
+        ("twice", "A", None, at(2)),
+        *[("again", "A", date(2024, 5, 2), at(1))] * 2, ("again", None, None, at(3)),
+        ("shared", "A", None, at(2)), ("shared", "B", None, at(2)),
+        *[("alone", "A", None, at(1))] * 3,
+        *[("untimed", "A", None, None)] * 2,
+    ]
+    folders = {n: str(tmp_path / n) for n in ("payments", "labels", "final", "checkpoint")}
+    closing = [("end", None, None, None, at(10_000))], [("end", None, None, at(10_000))]
+    for more, further in ((payments[::2], labels[1::2]), (payments[1::2], labels[::2]), closing):
+        frame(more, PAYMENT).coalesce(1).write.mode("append").parquet(folders["payments"])
+        frame(further, LABEL).coalesce(1).write.mode("append").parquet(folders["labels"])
+        streams = (E.open_stream(spark, "parquet", {"path": folders[n]}, s) for n, s in (("payments", PAYMENT), ("labels", LABEL)))
+        with stateful_stream(spark, 2):
+            L.start_label_matching(*streams, "3 seconds", folders["final"], folders["checkpoint"], delay="5 seconds", interval=None).awaitTermination()
+    found = spark.read.parquet(folders["final"]).filter("payment_id is null or payment_id <> 'end'")
+    batch = L.reconcile_batch(frame(payments, PAYMENT), frame(labels, LABEL), "3 seconds")
+    of_payment = F.col("src_account_id").isNotNull()
+    assert rows(found.filter(of_payment).select(batch.columns)) == rows(batch) and batch.count() == len(payments)
+    late = L.late_labels(frame(payments, PAYMENT), frame(labels, LABEL), "3 seconds").drop("label_ts")
+    assert rows(found.filter(~of_payment).select(late.columns)) == rows(late)
+    assert sorted(r.payment_id for r in late.collect()) == ["again", *["alone"] * 3, "shared", *["untimed"] * 2]
+
+
 def test_reference_data_is_loaded_for_every_batch(spark, frame, tmp_path):
     folder, path, checkpoint = (str(tmp_path / n) for n in ("payments", "out", "checkpoint"))
     versions = [profiles(frame), profiles(frame).withColumn("risk_flag", F.lit(7))]

@@ -81,40 +81,65 @@ LABEL = ("label_ts", "fraud_type", "fraud_reported_date")
 def match_labels(payments: DataFrame, labels: DataFrame, timeout: str, delay: str = "0 seconds") -> DataFrame:
     """Streams of payments and labels to final records, with ``outcome`` telling the case.
 
-    Payments meet all their labels in time in an outer join with watermarks; then
-    the labels of a payment are gathered until no more can come, the earliest makes
-    the record and the others are late. Equal payments are one record. Labels
-    without a payment come from a join of their own. Both sides may be out of order
-    by ``delay``. The last payments wait until the watermark moves on: later events,
-    or a closing event far ahead on both sides, release them. Rows without a time
-    cannot meet a partner and would wait for ever, so they pass beside the joins.
+    Equal payments are counted, meet their labels in time in an outer join with
+    watermarks, and the least label is kept until no earlier one can come; then each
+    copy gets a record. On the late side equal labels are counted and joined to the
+    moments of payments whose earliest label they are; what is not used there is
+    late. No state holds a list. Both sides may be out of order by ``delay``. The
+    last payments wait until the watermark moves on: later events, or a closing event
+    far ahead on both sides, release them. Rows without a time cannot meet a partner
+    and would wait for ever, so they pass beside the joins.
     """
     timed = payments.filter("timestamp is not null").withWatermark("timestamp", delay)
-    side = _label_side(labels.filter("label_ts is not null").withWatermark("label_ts", delay))
+    stamped = labels.filter("label_ts is not null").withWatermark("label_ts", delay)
+    side = _label_side(stamped)
     label = F.when(F.col("_label_payment").isNotNull(), F.struct(*LABEL))
-    gathered = (
-        timed.join(side, _in_time(timeout), "left")
-        .groupBy(*payments.columns)
-        .agg(F.sort_array(F.collect_list(label)).alias("_labels"))
+    finals = (
+        timed.groupBy(*payments.columns)
+        .agg(F.count("*").alias("_copies"))
+        .join(side, _in_time(timeout), "left")
+        .groupBy(*payments.columns, "_copies")
+        .agg(F.min(label).alias("_label"))
     )
-    others = [c for c in payments.columns if c != "payment_id"]
-    late = F.transform(F.slice("_labels", 2, F.greatest(F.size("_labels") - 1, F.lit(0))), lambda x: F.struct(F.lit(False).alias("first"), x.alias("label")))
-    first = F.array(F.struct(F.lit(True).alias("first"), F.get("_labels", F.lit(0)).alias("label")))
-    each = gathered.withColumn("_each", F.explode(F.concat(first, late)))
-    is_first = F.col("_each.first")
-    finals = _final_records(
-        each.select(
-            F.when(is_first, F.col("payment_id")).alias("payment_id"),
-            *(F.when(is_first, F.col(c)).alias(c) for c in others),
-            F.when(F.col("_each.label").isNotNull(), F.col("payment_id")).alias("_label_payment"),
-            "_each.label.fraud_type",
-            "_each.label.fraud_reported_date",
-        ),
-        payments.columns,
+    finals = _restored(finals).select(
+        *payments.columns,
+        F.when(F.col("_label").isNotNull(), F.col("payment_id")).alias("_label_payment"),
+        "_label.fraud_type",
+        "_label.fraud_reported_date",
     )
-    alone = side.join(timed, _in_time(timeout), "left").filter("payment_id is null")
-    alone = _final_records(alone, payments.columns)
-    return finals.unionByName(alone).unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
+    late = _restored(_unused_labels(timed, stamped, side, timeout)).select("_label_payment", "fraud_type", "fraud_reported_date")
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in payments.schema}
+    late = _final_records(late.withColumns(absent), payments.columns)
+    finals = _final_records(finals, payments.columns)
+    return finals.unionByName(late).unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
+
+
+def _restored(counted: DataFrame) -> DataFrame:
+    """A row for each of ``_copies``."""
+    each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return counted.withColumn("_copy", each).drop("_copy", "_copies")
+
+
+def _unused_labels(timed: DataFrame, stamped: DataFrame, side: DataFrame, timeout: str) -> DataFrame:
+    """Streamed labels with ``_copies``: how many of them are no payment's earliest."""
+    used = (
+        timed.groupBy("payment_id", "timestamp")
+        .agg(F.count("*").alias("_n"))
+        .join(side, _in_time(timeout))
+        .groupBy("payment_id", "timestamp")
+        .agg(F.min(F.struct(*LABEL)).alias("_label"))
+        .select(F.col("payment_id").alias("_used_id"), "timestamp", *(F.col(f"_label.{c}").alias(f"_used_{c}") for c in LABEL))
+    )
+    # A stream has one watermark column; the label's moment here is a plain value.
+    used = used.withColumn("_used_label_ts", F.timestamp_micros(F.unix_micros("_used_label_ts")))
+    counted = _label_side(stamped).groupBy("_label_payment", *LABEL).agg(F.count("*").alias("_n"))
+    same = (F.col("_label_payment") == F.col("_used_id")) & (F.col("label_ts") == F.col("_used_label_ts"))
+    for c in LABEL[1:]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_used_{c}"))
+    limit = F.col("timestamp") + F.expr(f"interval {timeout}")
+    same = same & (F.col("label_ts") >= F.col("timestamp")) & (F.col("label_ts") <= limit)
+    uses = counted.join(used, same, "left").groupBy("_label_payment", *LABEL, "_n").agg(F.count("_used_id").alias("_uses"))
+    return uses.withColumn("_copies", F.col("_n") - F.col("_uses")).filter("_copies > 0")
 
 
 def _untimed_payments(payments: DataFrame) -> DataFrame:
