@@ -41,3 +41,11 @@ def test_volume_and_drift(frame):
     first, second = M.drift_profile(df, "at", "cents", "flag").orderBy("period").collect()
     assert (first.mean_cents, first.mean_cents_change) == (5.0, None)
     assert (second.mean_cents_change, round(second.flag_share_change, 9)) == (3.0, round(2 / 3, 9))
+
+
+def test_a_period_without_rows_is_a_drop(frame):
+    df = frame([(datetime(2024, m, 3),) for m in (1, 1, 4, 10)], "at timestamp_ntz")
+    got = [tuple(r)[1:] for r in M.volume_check(df, "at").orderBy("period").collect()]
+    assert got[:5] == [(2, None, False), (0, 2, True), (0, 0, False), (1, 0, False), (0, 1, True)] and len(got) == 10
+    assert [r.n_rows for r in M.volume_check(df, "at", "quarter").orderBy("period").collect()] == [2, 1, 0, 1]
+    assert M.volume_check(df.limit(0), "at").count() == 0

@@ -49,11 +49,19 @@ def recent_activity(df: DataFrame, key: str, moment: str, cents: str, seconds: i
     return counted.filter("_own").select(*result).unionByName(own.filter(~known).withColumns(blank).select(*result))
 
 
+# Names of periods that aren't units of an interval.
+STEPS = {"quarter": "3 months", "mon": "1 month", "mm": "1 month", "yyyy": "1 year", "yy": "1 year", "dd": "1 day"}
+
+
 def volume_check(df: DataFrame, moment: str, period: str = "month", least_share: float = 0.5) -> DataFrame:
     """Rows per period, those of the period before, and whether they dropped below a
-    share of them. Periods without rows don't appear."""
+    share of them. A period without rows between the first and the last one has 0."""
     counts = df.filter(F.col(moment).isNotNull()).groupBy(F.date_trunc(period, moment).alias("period"))
     counts = counts.agg(F.count("*").alias("n_rows"))
+    step = F.expr(f"interval {STEPS.get(period.lower(), f'1 {period}')}")
+    ends = counts.agg(F.min("period").alias("first"), F.max("period").alias("last"))
+    spine = ends.select(F.explode(F.sequence("first", "last", step)).alias("period"))
+    counts = spine.join(counts, "period", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
     before = F.lag("n_rows").over(Window.orderBy("period"))  # one row per period
     dropped = F.coalesce(F.col("n_rows") < F.lit(least_share) * F.col("n_before"), F.lit(False))
     return counts.withColumn("n_before", before).withColumn("dropped", dropped)
