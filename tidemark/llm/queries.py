@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bin_slack, chunked_bpe, compression_bands, covering_simhash, following, html_extraction, language_id, scaled_sketch, suffix_dedup, tool_calls, warc
+from tidemark.llm import bin_slack, chunked_bpe, compression_bands, conversation_repair, covering_simhash, following, html_extraction, language_id, scaled_sketch, suffix_dedup, tool_calls, warc
 from tidemark.llm.runtime import prepare, stored, table, utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,24 @@ def op10(pages: DataFrame) -> DataFrame:
     trees = html_extraction.fit(pages)
     text = html_extraction.extract(pages.sparkSession, trees, "html").alias("text")
     return pages.select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op13_conversation_repair", "conversations")
+def op13(conversations: DataFrame) -> DataFrame:
+    """Rows are damaged by the checksum of their place: 0 goes, 1 loses its text, 2 its
+    sentence ends, 3 comes twice, 4 is said by the user. Nulls count as one space."""
+
+    def plain(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(plain("text"), ".!?", "")).otherwise(plain("text"))
+    turns = conversations.select(
+        F.col("conv_id").alias("conv"),
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(plain("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.when(kind == 0, F.array()).when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
+    )
+    convs = conversations.select(F.col("conv_id").alias("conv"))
+    return conversation_repair.summaries(turns, convs).withColumnRenamed("conv", "conv_id")
