@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bin_slack, chunked_bpe, compression_bands, conversation_repair, covering_simhash, following, html_extraction, language_id, minhash, scaled_sketch, suffix_dedup, tool_calls, warc
+from tidemark.llm import bin_slack, chunked_bpe, collocations, compression_bands, conversation_repair, covering_simhash, following, html_extraction, language_id, minhash, scaled_sketch, suffix_dedup, tool_calls, warc
 from tidemark.llm.runtime import prepare, stored, table, utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,6 +207,13 @@ def op10(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query("op11_collocations", "documents")
+def op11(documents: DataFrame) -> DataFrame:
+    settings = collocations.Settings()
+    phrases = stored(collocations.frequent_phrases(documents, settings), "spelled-phrases")
+    return collocations.collocations(phrases, settings)
+
+
 @query("op12_minhash", "documents")
 def op12(documents: DataFrame) -> DataFrame:
     found = minhash.near_duplicates(documents.select(F.col("doc_id").alias("id"), "text"))
