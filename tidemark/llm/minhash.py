@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.graph import components
 from tidemark.llm.runtime import forget, stored, utf8
 
+# Most text keys (24 bytes each) that are broadcast.
+BROADCAST_TEXTS = 500_000
 LOWER = bytes(range(256)).lower()
 # Odd multipliers that tell the places of a shingle's words apart.
 PLACES = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -161,10 +163,6 @@ def _agreement(marks_a: str, marks_b: str, minima: int) -> Column:
     return F.arrow_udf(compute, "bigint")(F.col(marks_a), F.col(marks_b))
 
 
-def _in_bands(sets: DataFrame, *columns: str) -> DataFrame:
-    return sets.select(F.posexplode("bands").alias("band", "key"), "node", *columns)
-
-
 def _paired(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs ``a`` < ``b`` whose sizes and signatures allow the overlap, with ``alike``."""
     one = sets.select(F.col("node").alias("a"), F.col("marks").alias("marks_a"), F.col("n_shingles").alias("n_a"))
@@ -178,13 +176,13 @@ def _sizes_allow(settings: Settings) -> Column:
     return 100 * F.least("n_a", "n_b") >= settings.percent * F.greatest("n_a", "n_b")
 
 
-def first_candidates(sets: DataFrame, settings: Settings) -> DataFrame:
-    """Every bucket's members with the bucket's member of least hash."""
-    keys = _in_bands(sets).withColumn("rank", F.xxhash64("band", "node"))
-    heads = keys.groupBy("band", "key").agg(F.min("rank").alias("rank"), F.count("*").alias("n")).where("n > 1").drop("n")
-    heads = stored(keys.join(heads, ["band", "key", "rank"]).select("band", "key", F.col("node").alias("head")), "bucket-heads")
-    pairs = keys.join(heads, ["band", "key"]).where("node <> head")
-    return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+def shared_buckets(sets: DataFrame) -> DataFrame:
+    """Buckets (``key``, a band and its minima) with two or more members: ``node`` and the
+    bucket's ``head``, the member whose number is least once it is mixed with the key."""
+    keys = sets.select(F.explode("bands").alias("key"), "node")
+    rank = F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("rank")
+    heads = stored(keys.groupBy("key").agg(rank, F.count("*").alias("n")).where("n > 1"), "bucket-heads")
+    return stored(keys.join(heads, "key").select("key", "node", F.col("rank").bitwiseXOR(F.col("key")).alias("head")), "shared-buckets")
 
 
 CROSS = "a bigint, b bigint"
@@ -201,10 +199,10 @@ def _cross_pairs(settings: Settings):
             for batch in batches:
                 yield from zip(*(c.to_pylist() for c in batch.columns))
 
-        for _, run in groupby(rows(), key=lambda row: row[:3]):
+        for _, run in groupby(rows(), key=lambda row: row[:2]):
             run = list(run)
-            nodes, roots = (np.array([row[k] for row in run], np.int64) for k in (3, 4))
-            marks = np.frombuffer(b"".join(row[5] for row in run), np.uint8).reshape(len(run), -1)
+            nodes, roots = (np.array([row[k] for row in run], np.int64) for k in (2, 3))
+            marks = np.frombuffer(b"".join(row[4] for row in run), np.uint8).reshape(len(run), -1)
             kinds, counts = np.unique(roots, return_counts=True)
             largest = kinds[counts.argmax()]  # its members are met by all others
             for i in np.flatnonzero(roots != largest):
@@ -218,24 +216,23 @@ def _cross_pairs(settings: Settings):
     return compare
 
 
-def further_candidates(sets: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
+def further_candidates(shared: DataFrame, sets: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of sets in different components that a bucket holds together.
 
-    Pairs that share two bands are found in a bucket that is dealt out by a second
-    band, and a pair at the threshold shares only one band once in a million cases.
+    A bucket over ``bucket`` members is dealt out by a second band: a pair at the
+    threshold shares one band or none once in 180 000 cases.
     """
-    rooted = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = stored(rooted.select("node", "root", "bands", "marks"), "rooted-sets")
-    keys = _in_bands(rooted, "root")
-    mixed = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = stored(mixed.where("n > 1 and lo <> hi").select("band", "key", "n"), "mixed-buckets")
-    held = _in_bands(rooted, "root", "marks", "bands").join(mixed, ["band", "key"])
-    small = held.where(F.col("n") <= settings.bucket).withColumn("second", F.lit(0).cast("long"))
-    second = F.explode(F.filter("bands", lambda key, k: k > F.col("band")))
-    large = held.where(F.col("n") > settings.bucket).withColumn("second", second)
-    columns = ["band", "key", "second", "node", "root", "marks"]
+    rooted = shared.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = stored(mixed.where("lo <> hi").select("key", "n"), "mixed-buckets")
+    held = stored(rooted.join(mixed, "key"), "mixed-members")
+    described = held.join(sets.select("node", "marks", "bands"), "node")
+    small = described.where(F.col("n") <= settings.bucket).withColumn("second", F.lit(0).cast("long"))
+    second = F.explode(F.slice("bands", (F.array_position("bands", F.col("key")) + 1).cast("int"), settings.bands))
+    large = described.where(F.col("n") > settings.bucket).withColumn("second", second)
+    columns = ["key", "second", "node", "root", "marks"]
     rows = small.select(*columns).unionByName(large.select(*columns))
-    placed = rows.repartition("band", "key", "second").sortWithinPartitions("band", "key", "second", "node")
+    placed = rows.repartition("key", "second").sortWithinPartitions("key", "second", "node")
     return placed.mapInArrow(_cross_pairs(settings), CROSS).distinct()
 
 
@@ -269,12 +266,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings = Settings(
     counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
     shares = F.greatest(F.lit(1), F.ceil(F.col("n") / settings.share)).cast("long")
     counts = stored(counts.withColumn("shares", shares).drop("n"), "tried-sets")
-    heads = counts.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
-    heads = heads.join(texts, heads["a"] == texts["node"]).select("a", "share", F.lit(None).cast("long").alias("b"), "text")
-    tried = pairs.join(counts, "a").withColumn("share", F.pmod(F.xxhash64("b"), F.col("shares")))
-    tried = tried.join(texts, tried["b"] == texts["node"]).select("a", "share", "b", "text")
-    rows = heads.unionByName(tried).repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_confirm(settings), CROSS)
+    heads = counts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"))
+    heads = heads.select(F.col("a").alias("node"), "a", "share", F.lit(None).cast("long").alias("b"))
+    share = F.pmod(F.xxhash64("b"), F.col("shares")).alias("share")
+    tried = pairs.join(counts, "a").select(F.col("b").alias("node"), "a", share, "b")
+    rows = stored(heads.unionByName(tried), "trials").join(texts, "node").select("a", "share", "b", "text")
+    placed = rows.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
+    return placed.mapInArrow(_confirm(settings), CROSS)
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -291,7 +289,9 @@ def links(sets: DataFrame, texts_of: Callable[[DataFrame], DataFrame], settings:
     ``sets`` has ``node``, ``n_shingles``, ``bands``, ``marks``, one row per distinct set;
     ``texts_of`` gives ``node`` and ``text`` (bytes) for the nodes of a table of pairs.
     """
-    pairs = stored(_paired(first_candidates(sets, settings), sets, settings), "likely-pairs")
+    shared = shared_buckets(sets)
+    led = shared.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
+    pairs = stored(_paired(led.distinct(), sets, settings), "likely-pairs")
     texts = texts_of(pairs)
     # Each set's most alike partner first: that settles most pairs without a trial.
     best = F.max(F.struct("alike", (-F.col("a")).alias("order"), F.col("a"))).alias("best")
@@ -303,7 +303,7 @@ def links(sets: DataFrame, texts_of: Callable[[DataFrame], DataFrame], settings:
         found = stored(found.unionByName(confirmed(rest, texts, settings)), "links")
         roots = components(found)
         tried = tried.unionByName(rest)
-    more = stored(further_candidates(sets, roots, settings).join(tried, ["a", "b"], "left_anti"), "colliding-pairs")
+    more = stored(further_candidates(shared, sets, roots, settings).join(tried, ["a", "b"], "left_anti"), "colliding-pairs")
     if not more.isEmpty():
         more = stored(_paired(more, sets, settings).select("a", "b"), "further-pairs")
         found = stored(found.unionByName(confirmed(more, texts_of(more), settings)), "links")
@@ -329,7 +329,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = sets.select("node", "text_a", "text_b").join(nodes, "node", "left_semi")
+        wanted = stored(sets.select("node", "text_a", "text_b").join(nodes, "node", "left_semi"), "wanted-texts")
+        if wanted.count() <= BROADCAST_TEXTS:
+            wanted = F.broadcast(wanted)
         named = docs.select(*keys, text.alias("text")).join(wanted, ["text_a", "text_b"])
         return stored(named.groupBy("node").agg(F.first("text").alias("text")), "compared-texts")
 
