@@ -2,16 +2,20 @@
 
 Texts are cut into pieces and words. Word hashes are summed with the powers of a
 base into prefix polynomials (numpy, modulo 2^64), so the fingerprint of any run of
-words is a difference of two prefixes. Tasks count fingerprints, each with a check (a
-polynomial over other word hashes) and a pointer to a text that holds the phrase;
-the shuffle adds them up. Fingerprint and check are one key of 128 bits: phrases whose
-fingerprints collide stay apart by their checks, and a phrase is spelled out, once it
-is known to be frequent, only from a text in which both numbers are found again.
-
-A phrase is no more frequent than its parts. Words are counted first, then pairs of
-frequent words, then longer phrases all of whose pairs are frequent. The frequent
-ones travel as a Bloom filter of bounded size (``Settings.filter_bits``); what passes it
-wrongly is counted and found rare, so the filter changes the work, not the result.
+words is a difference of two prefixes. A phrase is no more frequent than its parts, so
+three passes over the texts do:
+
+1. words by fingerprint;
+2. words that may be frequent, exactly, and pairs of such words by fingerprint;
+3. pairs that may be frequent and longer phrases all of whose pairs may be, exactly.
+
+What may be frequent travels as a Bloom filter of bounded size
+(``Settings.filter_bits``); what passes it wrongly is counted and found rare, so the
+filter changes the work, not the result. Counting exactly means: beside the
+fingerprint a check (a polynomial over other word hashes) and a pointer to a text
+that holds the phrase go through the shuffle. Fingerprint and check are one key, so
+phrases whose fingerprints collide stay apart, and a phrase is spelled out, once it is
+known to be frequent, only from a text in which both numbers are found again.
 """
 
 from collections.abc import Iterator
@@ -103,6 +107,10 @@ class Grams:
         self.text = np.repeat(np.arange(len(texts)), sizes)
         seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode(), 5) for lang in set(langs)}
         self.seeds = np.array([seeds[lang] for lang in langs], U64)[self.text]
+        # Words of one language have one kind.
+        number = {lang: k for k, lang in enumerate(seeds)}
+        self.kind = np.array([number[lang] for lang in langs], np.int64)[self.text] * len(words) + self.words
+        self.kinds = len(number) * len(words)
         self.breaks = np.concatenate([[0], np.cumsum(self.words == 0)])
         self.prefixes = []
         for hashes, power in zip(words.hashes, powers):
@@ -117,6 +125,18 @@ class Grams:
             at[: len(at) - n + 1] = self.breaks[n:] == self.breaks[:-n]
         return at
 
+    def different(self, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of runs of n words and how many runs each stands for; equal words
+        are one place already, longer runs are not told apart here."""
+        places = np.flatnonzero(at)
+        if n != 1:
+            return places, np.ones(len(places), np.int64)
+        counts = np.bincount(self.kind[places], minlength=self.kinds)
+        some = np.zeros(self.kinds, np.int64)
+        some[self.kind[places]] = places
+        found = np.flatnonzero(counts)
+        return some[found], counts[found]
+
     def prints(self, n: int, at: np.ndarray, which: int = 0) -> np.ndarray:
         """Fingerprints (or, ``which`` 1, checks) of the runs of n words at some places."""
         prefix, down = self.prefixes[which]
@@ -180,9 +200,19 @@ def added(prints: np.ndarray, checks: np.ndarray, counts: np.ndarray, pointers:
     return prints[starts], checks[starts], np.add.reduceat(counts, starts), np.minimum.reduceat(pointers, starts)
 
 
-def _count(sizes: tuple[int, ...], settings: Settings, known=None, parts: int = 0):
-    """Counts runs of the given numbers of words whose runs of ``parts`` words pass the
-    filter ``known`` (a broadcast); size 0 counts all words of a language."""
+@dataclass(frozen=True)
+class Run:
+    """Runs of ``size`` words (0: all words of a language) whose runs of ``parts`` words
+    may be frequent; ``exact`` ones are counted with check and pointer."""
+
+    size: int
+    parts: int
+    exact: bool
+
+
+def _count(runs: list[Run], settings: Settings, known=None):
+    """Counts runs; ``known`` is a broadcast filter over their parts. Rows that are not
+    exact have check 0, others an odd check."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -206,13 +236,14 @@ def _count(sizes: tuple[int, ...], settings: Settings, known=None, parts: int =
                 words = Vocabulary()
             langs, texts, pointers = batch["lang"].to_pylist(), batch["text"].to_pylist(), batch["pointer"].to_numpy()
             grams = Grams(langs, texts, words, powers)
-            passed = _passed(grams, known, parts)
-            for size in sizes:
-                at = np.flatnonzero(_extended(grams, passed, size, parts))
+            passed = _passed(grams, known, max(run.parts for run in runs))
+            for run in runs:
+                at, ones = grams.different(_extended(grams, passed if run.parts else None, run.size, run.parts), run.size)
                 if len(at):
-                    ones = np.ones(len(at), np.int64)
-                    prints, checks = (grams.prints(size, at, which) for which in (0, 1))
-                    held.append(added(prints, checks, ones, pointers[grams.text[at]]))
+                    prints = grams.prints(run.size, at)
+                    checks = grams.prints(run.size, at, 1) | U64(1) if run.exact else np.zeros(len(at), U64)
+                    texts_at = pointers[grams.text[at]] if run.exact else np.zeros(len(at), np.int64)
+                    held.append(added(prints, checks, ones, texts_at))
             if sum(len(rows[0]) for rows in held) > 2 * settings.held:
                 ready = flush(settings.held)
                 if ready is not None:
@@ -225,11 +256,18 @@ def _count(sizes: tuple[int, ...], settings: Settings, known=None, parts: int =
 
 
 def _passed(grams: Grams, known, parts: int) -> np.ndarray | None:
+    """Where runs of ``parts`` words stand whole and may be frequent."""
     if known is None:
         return None
     at = grams.whole(parts)
-    places = np.flatnonzero(at)
-    at[places] = known.value.holds(grams.prints(parts, places))
+    if parts > 1:
+        places = np.flatnonzero(at)
+        at[places] = known.value.holds(grams.prints(parts, places))
+    else:
+        places, _ = grams.different(at, 1)
+        good = np.zeros(grams.kinds, bool)
+        good[grams.kind[places]] = known.value.holds(grams.prints(1, places))
+        at &= good[grams.kind]
     return at
 
 
@@ -262,7 +300,7 @@ def _spell(longest: int):
                     at = at[np.isin(here, prints)]
                     here, first = np.unique(grams.prints(size, at), return_index=True)
                     at = at[first]
-                    checks = grams.prints(size, at, 1).view(np.int64).tolist()
+                    checks = (grams.prints(size, at, 1) | U64(1)).view(np.int64).tolist()
                     for place, key in zip(at.tolist(), zip(here.view(np.int64).tolist(), checks)):
                         if key in counts:
                             spelled = b" ".join(words.spelled[k] for k in grams.words[place : place + size])
@@ -292,19 +330,21 @@ def frequent_phrases(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), utf8("text")
     rows = docs.select(lang.alias("lang"), text.alias("text")).withColumn("pointer", F.xxhash64("lang", "text"))
 
-    def counted(purpose: str, *args) -> DataFrame:
-        parts = rows.mapInArrow(_count(*args), COUNTS)
+    def counted(purpose: str, runs: list[Run], known=None) -> tuple[DataFrame, DataFrame]:
+        parts = rows.mapInArrow(_count(runs, settings, known), COUNTS)
         sums = parts.groupBy("print", "check").agg(F.sum("n").alias("n"), F.min("pointer").alias("pointer"))
-        return stored(sums.where(F.col("n") >= settings.least), purpose)
-
-    found = words = counted("frequent-words", (0, 1), settings)
-    if settings.longest > 1:
-        known = context.broadcast(make_filter(words, settings.filter_bits))
-        pairs = counted("frequent-pairs", (2,), settings, known, 1)
-        found = found.unionByName(pairs)
-    if settings.longest > 2:
-        known = context.broadcast(make_filter(pairs, settings.filter_bits))
-        found = found.unionByName(counted("frequent-phrases", tuple(range(3, settings.longest + 1)), settings, known, 2))
+        kept = stored(sums.where(F.col("n") >= settings.least), purpose)
+        return kept.where("check <> 0"), kept.where("check = 0")
+
+    def filtered(candidates: DataFrame):
+        return context.broadcast(make_filter(candidates, settings.filter_bits))
+
+    _, words = counted("likely-words", [Run(1, 0, False)])
+    pairs = [Run(2, 1, False)] if settings.longest > 1 else []
+    found, likely = counted("frequent-words", [Run(0, 0, True), Run(1, 1, True), *pairs], filtered(words))
+    if pairs:
+        longer = [Run(size, 2, True) for size in range(2, settings.longest + 1)]
+        found = found.unionByName(counted("frequent-phrases", longer, filtered(likely))[0])
 
     wanted = found.groupBy("pointer").agg(F.collect_list(F.struct("print", "check", "n")).alias("wanted"))
     wanted = stored(wanted, "wanted-phrases")
