@@ -71,7 +71,7 @@ def test_a_dense_group_with_unlinked_neighbours(llm_spark):
         rows.append((k, " ".join(text)))
     df = llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert found(df) == expected(rows)
-    small = minhash.Settings(bucket=8, share=5)  # buckets dealt out again, sets handed to shares
+    small = minhash.Settings(bucket=8, share=5, block=20)  # buckets dealt out again, sets handed to shares, small blocks
     ids = minhash.near_duplicates(df.selectExpr("doc_id as id", "text"), small).collect()
     assert sorted(((r.id, r.n_shingles, r.component_id, r.id == r.component_id) for r in ids), key=str) == expected(rows)
 

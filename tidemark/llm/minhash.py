@@ -9,10 +9,12 @@ minima: a pair at 0.85 shares no band once in four million cases.
 1. Every bucket (band and its minima) pairs its members with one of them, the one
    of least hash, which differs from band to band. Of these pairs each set tries its
    most alike first; pairs inside a component found so far need no trial.
-2. What is still apart although a bucket holds it is compared pair by pair, by
-   signatures inside the bucket. A dense group of copies is one component by
-   then, so this touches only sets that collide and yet are not linked. A bucket
-   with more than ``bucket`` members is dealt out by a second band first.
+2. What is still apart although a bucket holds it is compared by signatures inside
+   the bucket; a forest of what agrees enough joins components to families. A
+   bucket with more than ``bucket`` members is dealt out by a second band first.
+   Inside a family, every set outside its largest component is met with all
+   others on the full sets, by an index of shingles over blocks of bounded size.
+   What leaves a bucket or a block is a forest, never its pairs.
 
 Pairs whose signatures agree too little for the threshold (six standard
 deviations below it) go; all others are confirmed on their full sets, taken from the
@@ -44,7 +46,8 @@ PLACES = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np
 class Settings:
     """``words`` per shingle, ``percent`` of overlap, ``bands`` of ``rows`` minima,
     ``bucket``: most signatures compared at a time, ``share``: most sets tried against
-    one set in a task."""
+    one set in a task, ``block`` and ``weight``: about how many sets, and shingles, an
+    index holds."""
 
     words: int = 3
     percent: int = 85
@@ -52,6 +55,8 @@ class Settings:
     rows: int = 6
     bucket: int = 2_048
     share: int = 500
+    block: int = 2_000
+    weight: int = 2_000_000
     seed: int = 12
 
     @property
@@ -188,36 +193,62 @@ def shared_buckets(sets: DataFrame) -> DataFrame:
 CROSS = "a bigint, b bigint"
 
 
-def _cross_pairs(settings: Settings):
-    """Pairs of different roots in a bucket whose signatures agree enough.
+class Forest:
+    """Joins numbers to trees and says which joins were new."""
 
-    Rows are sorted by bucket; a bucket is held as arrays of nodes, roots and marks.
+    def __init__(self):
+        self.parent = {}
+
+    def root(self, x):
+        while x != (up := self.parent.setdefault(x, x)):
+            self.parent[x] = x = self.parent.setdefault(up, up)
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([pair[k] for pair in pairs], pa.int64()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _agreeing_roots(settings: Settings):
+    """A forest of the roots in a bucket whose members' signatures agree enough.
+
+    Rows are sorted by bucket; a bucket is held as arrays of roots and marks.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                yield from zip(*(c.to_pylist() for c in batch.columns))
-
-        for _, run in groupby(rows(), key=lambda row: row[:2]):
+        for _, run in groupby(_rows(batches), key=lambda row: row[:2]):
             run = list(run)
-            nodes, roots = (np.array([row[k] for row in run], np.int64) for k in (2, 3))
+            roots = np.array([row[3] for row in run], np.int64)
             marks = np.frombuffer(b"".join(row[4] for row in run), np.uint8).reshape(len(run), -1)
             kinds, counts = np.unique(roots, return_counts=True)
             largest = kinds[counts.argmax()]  # its members are met by all others
+            forest, found = Forest(), []
             for i in np.flatnonzero(roots != largest):
                 met = (roots == largest) | (np.arange(len(run)) > i)
                 apart = np.flatnonzero(met & (roots != roots[i]))
                 alike = apart[(marks[apart] == marks[i]).sum(axis=1) >= settings.least_agreement]
-                if len(alike):
-                    a, b = np.minimum(nodes[alike], nodes[i]), np.maximum(nodes[alike], nodes[i])
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                one = int(roots[i])
+                found += [(one, other) for other in np.unique(roots[alike]).tolist() if forest.join(one, other)]
+            if found:
+                yield _batch(found)
 
     return compare
 
 
-def further_candidates(shared: DataFrame, sets: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of sets in different components that a bucket holds together.
+def families(shared: DataFrame, sets: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
+    """``node``, ``root`` and ``family`` of sets whose buckets hold several components that
+    may be linked.
 
     A bucket over ``bucket`` members is dealt out by a second band: a pair at the
     threshold shares one band or none once in 180 000 cases.
@@ -233,7 +264,71 @@ def further_candidates(shared: DataFrame, sets: DataFrame, roots: DataFrame, set
     columns = ["key", "second", "node", "root", "marks"]
     rows = small.select(*columns).unionByName(large.select(*columns))
     placed = rows.repartition("key", "second").sortWithinPartitions("key", "second", "node")
-    return placed.mapInArrow(_cross_pairs(settings), CROSS).distinct()
+    met = components(placed.mapInArrow(_agreeing_roots(settings), CROSS))
+    named = met.select(F.col("node").alias("root"), F.col("root").alias("family"))
+    return held.select("node", "root").distinct().join(named, "root")
+
+
+def _index_block(settings: Settings):
+    """Links between the sets of a block and those that are met with it, as a forest.
+
+    Rows are sorted by family and block, the block's own sets first.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for _, run in groupby(_rows(batches), key=lambda row: row[:2]):
+            nodes, roots, own, index, forest, found = [], [], [], None, Forest(), []
+            for _, _, visitor, node, root, text in run:
+                words = shingles(text, settings.words)
+                if not visitor:
+                    nodes.append(node)
+                    roots.append(root)
+                    own.append(words)
+                    continue
+                index = index or _index(own)
+                common = _common(index, words, len(own))
+                linked = 100 * common >= settings.percent * (index[2] + len(words) - common)
+                for k in np.flatnonzero(linked).tolist():
+                    if forest.join(root, roots[k]):
+                        found.append((node, nodes[k]))
+            if found:
+                yield _batch(found)
+
+    return meet
+
+
+def _index(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted shingles, the set of each, and the sets' sizes."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    whole = np.concatenate([*sets, np.empty(0, np.uint64)])
+    order = np.argsort(whole, kind="stable")
+    return whole[order], np.repeat(np.arange(len(sets)), sizes)[order], sizes
+
+
+def _common(index, words: np.ndarray, count: int) -> np.ndarray:
+    """How many of the words each indexed set has."""
+    whole, owners, _ = index
+    low, high = np.searchsorted(whole, words, "left"), np.searchsorted(whole, words, "right")
+    lengths = high - low
+    at = np.repeat(low - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+    return np.bincount(owners[at], minlength=count)
+
+
+def family_links(members: DataFrame, sizes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links between the components of each family that its full sets show."""
+    members = stored(members.join(sizes, "node"), "family-members")
+    counts = members.groupBy("family", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    largest = F.max(F.struct("n", "root"))["root"].alias("largest")
+    blocks = F.greatest(F.sum("n") / settings.block, F.sum("weight") / settings.weight)
+    counts = counts.groupBy("family").agg(largest, F.ceil(blocks).cast("long").alias("blocks"))
+    placed = members.join(stored(counts, "families"), "family")
+    own = placed.select("family", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(False).alias("visitor"), "node", "root")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    visitors = placed.where("root <> largest").select("family", every, F.lit(True).alias("visitor"), "node", "root")
+    rows = stored(own.unionByName(visitors), "block-members").join(texts, "node")
+    rows = rows.select("family", "block", "visitor", "node", "root", "text").repartition("family", "block")
+    return rows.sortWithinPartitions("family", "block", "visitor", "node").mapInArrow(_index_block(settings), CROSS)
 
 
 # ---- confirmation
@@ -302,12 +397,11 @@ def links(sets: DataFrame, texts_of: Callable[[DataFrame], DataFrame], settings:
     if not rest.isEmpty():
         found = stored(found.unionByName(confirmed(rest, texts, settings)), "links")
         roots = components(found)
-        tried = tried.unionByName(rest)
-    more = stored(further_candidates(shared, sets, roots, settings).join(tried, ["a", "b"], "left_anti"), "colliding-pairs")
-    if not more.isEmpty():
-        more = stored(_paired(more, sets, settings).select("a", "b"), "further-pairs")
-        found = stored(found.unionByName(confirmed(more, texts_of(more), settings)), "links")
-        roots = components(found)
+    members = stored(families(shared, sets, roots, settings), "families")
+    if not members.isEmpty():
+        texts = texts_of(members.select(F.col("node").alias("a"), F.col("node").alias("b")))
+        more = family_links(members, sets.select("node", "n_shingles"), texts, settings)
+        roots = components(stored(found.unionByName(more), "links"))
     return roots
 
 
