@@ -9,6 +9,7 @@ from tidemark.plans.risk import risk_flagging
 from tidemark.session import fresh_folder
 from tidemark.sources.events import open_stream, to_messages
 from tidemark.streaming import labels as L
+from tidemark.streaming.activity import recent_activity_stream, start_recent_activity
 from tidemark.streaming.layers import start_bronze_silver, start_landing
 from tidemark.streaming.settings import stateful_stream
 
@@ -140,6 +141,32 @@ def _close(v, folder, schema, moment):
     far.coalesce(1).write.mode("append").parquet(folder)
 
 
+@query(
+    "stream_payment_features_1h",
+    """with s as (select user_id, cast(floor(epoch(event_timestamp)) as bigint) as second, count(*) as n, sum(cast(round(amount * 100) as bigint)) as cents
+                from payment_events where user_id is not null and event_timestamp is not null group by all)
+       select user_id, second, n::bigint as n_rows, cast(sum(n) over w as bigint) as n_recent, cast(sum(cents) over w as bigint) as cents_recent
+       from s window w as (partition by user_id order by second range between 3600 preceding and current row)""",
+    "payment_events",
+)
+def stream_payment_features_1h(v):
+    """The events as a file stream, oldest first; a closing event moves the watermark past the last one."""
+    cents = F.round(F.col("amount") * 100).cast("long").alias("cents")
+    events = v.payment_events.select("user_id", F.col("event_timestamp").cast("timestamp").alias("moment"), cents)
+    feed = fresh_folder(v.spark, "activity-events")
+    events.repartitionByRange(8, "moment").write.parquet(feed)
+    stream = open_stream(v.spark, "parquet", {"path": feed}, events.schema)
+    path, checkpoint = fresh_folder(v.spark, "activity"), fresh_folder(v.spark, "checkpoint")
+    with stateful_stream(v.spark, 8):
+        activity = recent_activity_stream(stream, "user_id", "moment", "cents")
+        start_recent_activity(activity, path, checkpoint, interval=None).awaitTermination()
+        closing = v.spark.range(1).select(F.lit(_SENTINEL), F.lit("2200-01-01").cast("timestamp"), F.lit(None).cast("long"))
+        closing.toDF(*events.columns).write.mode("append").parquet(feed)
+        start_recent_activity(activity, path, checkpoint, interval=None).awaitTermination()
+    found = v.spark.read.schema(activity.schema).parquet(path).withColumnsRenamed({"key": "user_id", "at": "second"})
+    return found.filter(F.col("user_id") != _SENTINEL)
+
+
 _FINAL_VIEWS = _ENRICHED_VIEWS + " fraud_cases"
 
 

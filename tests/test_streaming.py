@@ -255,3 +255,42 @@ def test_reference_data_is_loaded_for_every_batch(spark, frame, tmp_path):
         L.start_enrichment(stream, lambda: versions[i], path, checkpoint, interval=None).awaitTermination()
     got = spark.read.parquet(path)
     assert rows(got.select("payment_id", "src_risk_flag")) == [("at_limit", 7), ("in_time", 0)]
+
+
+ACTIVITY = struct("k string, moment timestamp, cents long")
+
+
+def test_recent_activity_stream_equals_the_batch(spark, tmp_path):
+    import random
+
+    from tidemark.operators.monitoring import recent_activity
+    from tidemark.streaming.activity import recent_activity_stream, start_recent_activity
+
+    rng = random.Random(2)
+    feed, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "checkpoint"))
+
+    def events(first, last, n):
+        return [(rng.choice(["hot", "hot", "hot", "a", "b"]), at(rng.randrange(first, last)), rng.choice([None, 3, 8])) for _ in range(n)]
+
+    def run(data):
+        spark.createDataFrame(data, ACTIVITY).coalesce(1).write.mode("append").parquet(feed)
+        stream = E.open_stream(spark, "parquet", {"path": feed}, ACTIVITY)
+        with stateful_stream(spark, 2):
+            start_recent_activity(recent_activity_stream(stream, "k", "moment", "cents"), out, checkpoint, interval=None).awaitTermination()
+
+    # Every run starts anew from the checkpoint; rows come out of order within the delay.
+    parts = [events(0, 2_000, 150), events(1_500, 6_000, 200), events(5_500, 11_000, 150)]
+    odd = [(None, at(5), 1), ("a", None, 1)]
+    for part in parts:
+        run(part + odd)
+    run([("end", at(90_000), 1)])
+    late = ("hot", at(100), 1_000_000)
+    run([late, ("end", at(180_000), 1)])
+
+    found = spark.read.schema("key string, at long, n_rows long, n_recent long, cents_recent long").parquet(out)
+    got = rows(found.filter("key <> 'end'").select("key", "at", "n_recent", "cents_recent"))
+    kept = spark.createDataFrame([e for part in parts for e in part], ACTIVITY)
+    batch = recent_activity(kept, "k", "moment", "cents")
+    want = rows(batch.select("k", F.unix_seconds("moment").alias("at"), "n_recent", "cents_recent").distinct())
+    assert got == want
+    assert found.filter("key = 'hot'").agg(F.sum("n_rows")).first()[0] == sum(e[0] == "hot" for part in parts for e in part)
