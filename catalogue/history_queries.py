@@ -110,8 +110,11 @@ def unified_payment_intelligence(v):
     "mart",
 )
 def date_range_rebuild(v):
+    """A stored mart with stale amounts; the months of 1997 are rebuilt in place."""
+    table = f"tm_{uuid.uuid4().hex}"
     stale = v.mart().withColumn("amount", F.col("amount") + 1)
-    return batch.date_range_rebuild(stale, v.mart("1997-01-01", "1998-01-01"), "1997-01-01", "1998-01-01")
+    batch.store_mart(stale, table, "month", shared_folder(v.spark))
+    return batch.date_range_rebuild(v.spark, table, v.mart, "1997-01-01", "1998-01-01", "month").drop(batch.PERIOD)
 
 
 @query(
@@ -194,9 +197,10 @@ _STAMPED = H.HistoryRules(keys=("o_custkey",), updated_at="last_order")
 _RUN1, _RUN2, _RUN3 = "1997-07-01", "1999-07-01", "2100-01-01"
 
 
-def _accounts_at(v, until):
-    """Latest order of each customer before a moment, with its time as the update time."""
-    known = v.orders.filter(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
+def _accounts_at(v, since, until):
+    """Latest order of each customer with an order of ``[since, until)``, its time as the update time."""
+    low, high = (F.lit(moment).cast("timestamp_ntz") for moment in (since, until))
+    known = v.orders.filter((F.col("o_orderdate") >= low) & (F.col("o_orderdate") < high))
     newest = deduplicate(known, ["o_custkey"], [F.col("o_orderdate").desc(), "o_orderkey"])
     return newest.select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("last_order"))
 
@@ -213,10 +217,10 @@ def _accounts_at(v, until):
               lead(last_order) over (partition by o_custkey order by last_order) as dbt_valid_to from versions""",
 )
 def scd2_timestamp(v):
-    """The last run comes after the newest order, so every order is read."""
-    kept = None
+    """Every run gets the orders since the one before; the last comes after the newest order."""
+    kept, since = None, "0001-01-01"
     for run in (_RUN1, _RUN2, _RUN3):
-        kept = staged(v.spark, "history")(H.snapshot(kept, _accounts_at(v, run), _STAMPED, run))
+        kept, since = staged(v.spark, "history")(H.snapshot(kept, _accounts_at(v, since, run), _STAMPED, run)), run
     return kept
 
 

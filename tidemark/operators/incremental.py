@@ -4,7 +4,7 @@ import logging
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +74,8 @@ def merge(
 ) -> DataFrame:
     """Upsert: matched target rows take the chosen columns, unmatched batch rows come in.
 
-    Without a key everything is inserted. Two batch rows for one matched target
+    One full join: target and batch are shuffled once each. Without a key everything
+    is inserted. Two batch rows for one matched target
     row raise an error when the result is computed. Target rows outside the
     predicates are never matched.
     """
@@ -85,23 +86,27 @@ def merge(
         return append(target, batch, columns)
     reached, rest = _split(target, predicates)
 
-    # One row per key before the join; a count over one is an error only if it matches.
-    per_key = batch.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(*columns)).alias("_new"))
-    per_key = per_key.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_n", "_new")
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_key_{k}") for k in keys])
-    joined = reached.join(per_key, same, "left")
-    once = F.when(F.col("_n") > 1, F.raise_error(F.lit("more than one batch row matches a target row"))).otherwise(
-        F.col("_n").isNotNull()
-    )
-    lowered = {c.lower() for c in changing}
-    updated = joined.withColumn("_hit", once).select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c.lower() in lowered else F.col(c)
-            for c in target.columns
-        ]
-    )
-    unmatched = batch.join(reached.select(*keys), keys, "left_anti")
-    return _insert(_with(rest, updated), unmatched, columns)
+    # Rows without a key never match, so they stay out of the exchange: many of them
+    # would meet in one task of a full join, which can't be split.
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    old = reached.filter(known).select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.struct(*target.columns).alias("_old"))
+    copies = F.count("*").over(Window.partitionBy(*keys)).alias("_n")
+    new = batch.filter(known).select(*[F.col(k).alias(f"_new_{k}") for k in keys], F.struct(*columns).alias("_new"), copies)
+    same = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_new_{k}") for k in keys])
+    joined = old.join(new, same, "full_outer")
+
+    hit = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    once = F.when(hit & (F.col("_n") > 1), F.raise_error(F.lit("more than one batch row matches a target row"))).otherwise(hit)
+    lowered, inserted = {c.lower() for c in changing}, {c.lower() for c in columns}
+
+    def merged(c):
+        before, after = F.col(f"_old.{c}"), F.col(f"_new.{c}") if c.lower() in inserted else F.lit(None)
+        found = F.when(F.col("_hit"), after if c.lower() in lowered else before).when(F.col("_old").isNotNull(), before)
+        return found.otherwise(after).cast(target.schema[c].dataType).alias(c)
+
+    result = joined.withColumn("_hit", once).select(*[merged(c) for c in target.columns])
+    keyless = reached.filter(~known)
+    return _insert(_with(rest, keyless).unionByName(result), batch.filter(~known), columns)
 
 
 def insert_overwrite(target: DataFrame, batch: DataFrame, predicates=(), columns=None) -> DataFrame:

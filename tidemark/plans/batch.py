@@ -1,15 +1,18 @@
 """The whole batch run: staging, risk history, mart, tests."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.incremental import insert_overwrite
 from tidemark.operators.reporting import run_suite
 from tidemark.plans import staging
 from tidemark.plans.checks import MART, declared_tests
 from tidemark.plans.mart import unified_payment_intelligence
 from tidemark.plans.risk import RISK_RULES, risk_flagging
+from tidemark.session import staged
 from tidemark.sources.files import consolidate_batch
-from tidemark.sources.tables import materialize_table, run_snapshot
+from tidemark.sources.tables import materialize_table, replace_partitions, run_snapshot
 
 STAGING = {
     "stg_payments": ("raw_payments", staging.stg_payments),
@@ -67,15 +70,46 @@ def load_raw(spark: SparkSession, landed: str, schema: str = "", folder: str | N
     return loaded
 
 
-def date_range_rebuild(stored_mart: DataFrame, rebuilt: DataFrame, start_date: str, end_date: str) -> DataFrame:
-    """Mart with the payments of ``[start_date, end_date)`` taken from the rebuilt window.
+# Layout column of a stored mart: the first day of the payment's period.
+PERIOD = "payment_period"
+
+
+def _with_period(mart: DataFrame, unit: str) -> DataFrame:
+    return mart.withColumn(PERIOD, F.date_trunc(unit, "timestamp").cast("date"))
+
+
+def store_mart(mart: DataFrame, table: str, unit: str = "day", folder: str | None = None) -> DataFrame:
+    """The mart as a table partitioned by period of payment (``day``, ``month`` ...).
+
+    Rows are dealt by period; adaptive execution splits a large period over tasks and
+    puts small ones together. Payments without a time have a partition of their own.
+    """
+    return materialize_table(_with_period(mart, unit).hint("rebalance", PERIOD), table, [PERIOD], folder)
+
+
+def stored_window(spark: SparkSession, table: str, start_date: str, end_date: str, unit: str = "day") -> DataFrame:
+    """Rows of the partitions that ``[start_date, end_date)`` touches; the scan lists no other."""
+    first = F.date_trunc(unit, F.lit(start_date).cast("timestamp_ntz")).cast("date")
+    last = F.date_trunc(unit, F.lit(end_date).cast("timestamp_ntz") - F.expr("interval 1 microsecond")).cast("date")
+    return spark.table(table).filter((F.col(PERIOD) >= first) & (F.col(PERIOD) <= last))
+
+
+def date_range_rebuild(
+    spark: SparkSession, table: str, build: Callable[[str, str], DataFrame], start_date: str, end_date: str, unit: str = "day"
+) -> DataFrame:
+    """Rebuild the payments of ``[start_date, end_date)`` of a mart stored by ``store_mart``.
 
-    On a table partitioned by day, ``replace_partitions`` does the same by
-    overwriting only those days.
+    ``build(start_date, end_date)`` gives the window's rows, cut at the source. Only
+    the partitions that the window touches are read, for their rows beyond its ends,
+    and written; a partition that has no rows any more is dropped. All others keep
+    their files. A run that failed midway can be repeated. An empty window changes nothing.
     """
-    kind = stored_mart.schema["timestamp"].dataType.simpleString()
-    inside = [
-        f"timestamp >= cast('{start_date}' as {kind})",
-        f"timestamp < cast('{end_date}' as {kind})",
-    ]
-    return insert_overwrite(stored_mart, rebuilt, inside)
+    if str(start_date) >= str(end_date):
+        return spark.table(table)
+    touched = stored_window(spark, table, start_date, end_date, unit)
+    kind = touched.schema["timestamp"].dataType
+    low, high = (F.lit(str(v)).cast(kind) for v in (start_date, end_date))
+    beyond = touched.filter((F.col("timestamp") < low) | (F.col("timestamp") >= high))
+    rows = beyond.unionByName(_with_period(build(start_date, end_date), unit))
+    rewritten = staged(spark, "window")(rows.hint("rebalance", PERIOD))
+    return replace_partitions(rewritten, table, touched.select(PERIOD).distinct())
