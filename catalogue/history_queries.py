@@ -261,7 +261,7 @@ _FRESH = """select n.account_id, n.risk_score, md5(n.account_id || '|1999-01-01
 def scd2_merge(v):
     target = H.initial_history(v.risk_feed_v0, _DROPPING, LOADS[0])
     changes = H.stage_changes(target, v.risk_feed_v2, _DROPPING, LOADS[2])
-    return H.merge_changes(target, changes, _DROPPING)
+    return H.merge_changes(target, staged(v.spark, "changes")(changes), _DROPPING)
 
 
 _MARKING = H.HistoryRules(keys=("account_id",), check=("risk_score",), hard_deletes="new_record")
@@ -278,7 +278,7 @@ _MARKING = H.HistoryRules(keys=("account_id",), check=("risk_score",), hard_dele
 )
 def scd2_hard_deletes(v):
     target = H.initial_history(v.risk_feed_v0, _MARKING, LOADS[0])
-    return H.snapshot(target, v.risk_feed_v2, _MARKING, LOADS[2])
+    return H.snapshot(target, v.risk_feed_v2, _MARKING, LOADS[2], staged(v.spark, "changes"))
 
 
 _OPTIONS = H.HistoryRules(
@@ -309,7 +309,7 @@ def scd2_options(v):
     keys = ("l_orderkey", "l_partkey")
     before = v.lineitem.filter("l_returnflag <> 'R'").groupBy(*keys).agg(F.count("*").alias("n_lines"))
     after = v.lineitem.groupBy(*keys).agg(F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("long")).alias("qty"))
-    return H.snapshot(H.snapshot(None, before, _OPTIONS, LOADS[0]), after, _OPTIONS, LOADS[1])
+    return H.snapshot(H.snapshot(None, before, _OPTIONS, LOADS[0]), after, _OPTIONS, LOADS[1], staged(v.spark, "changes"))
 
 
 @query(

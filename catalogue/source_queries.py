@@ -76,7 +76,7 @@ def both_layers(spark, bronze, silver):
 def fanned_out(v):
     bronze, silver = fresh_folder(v.spark, "bronze"), fresh_folder(v.spark, "silver")
     for _ in range(2):  # the second write stands for a retry and adds nothing
-        write_layers(v.payment_events, 0, bronze, silver)
+        write_layers(v.payment_events, 0, bronze, silver, "run")
     return both_layers(v.spark, bronze, silver)
 
 
@@ -84,7 +84,7 @@ def fanned_out(v):
 def appended(v):
     path = fresh_folder(v.spark, "landing")
     for epoch, currency in enumerate(("USD", "EUR", "GBP")):
-        append_micro_batch(v.payment_events.filter(F.col("currency") == currency), epoch, path)
+        append_micro_batch(v.payment_events.filter(F.col("currency") == currency), epoch, path, "run")
     cents = F.sum(F.round(F.col("amount") * 100).cast("long")).alias("cents")
     return v.spark.read.parquet(path).groupBy("currency").agg(F.count("*").alias("n_events"), cents)
 

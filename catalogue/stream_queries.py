@@ -11,6 +11,7 @@ from tidemark.sources.events import open_stream, to_messages
 from tidemark.streaming import labels as L
 from tidemark.streaming.activity import recent_activity_stream, start_recent_activity
 from tidemark.streaming.layers import start_bronze_silver, start_landing
+from tidemark.streaming.quarantine import start_quarantine
 from tidemark.streaming.settings import stateful_stream
 
 TIMEOUT = "60 days"
@@ -141,6 +142,27 @@ def _close(v, folder, schema, moment):
     far.coalesce(1).write.mode("append").parquet(folder)
 
 
+@query(
+    "stream_quarantine",
+    """select case when merchant_id <> 'merchant_4' then transaction_id end as transaction_id,
+              case when merchant_id = 'merchant_4' then 'parsed' when coalesce(amount < 100, false) then '' else 'amount' end as failed,
+              case when merchant_id = 'merchant_4' then 25 end as broken_chars from payment_events""",
+    "payment_events",
+)
+def stream_quarantine(v):
+    """Messages of one merchant arrive cut off; large amounts break a rule."""
+    messages = to_messages(v.payment_events)
+    cut = F.col("value").contains('"merchant_4"')
+    folder, good, bad, checkpoint = (fresh_folder(v.spark, n) for n in ("messages", "good", "bad", "checkpoint"))
+    messages.select(F.when(cut, F.substring("value", 1, 25)).otherwise(F.col("value")).alias("value")).write.parquet(folder)
+    stream = open_stream(v.spark, "parquet", {"path": folder, "maxFilesPerTrigger": "4"}, MESSAGE)
+    start_quarantine(stream, {"amount": F.col("amount") < 100}, good, bad, checkpoint, interval=None).awaitTermination()
+    passed = v.spark.read.parquet(good).select("transaction_id", F.lit("").alias("failed"), F.lit(None).cast("int").alias("broken_chars"))
+    chars = F.when(F.array_contains("failed_rules", "parsed"), F.length("raw")).alias("broken_chars")
+    letters = v.spark.read.parquet(bad).select("transaction_id", F.array_join("failed_rules", ",").alias("failed"), chars)
+    return passed.unionByName(letters)
+
+
 @query(
     "stream_payment_features_1h",
     """with s as (select user_id, cast(floor(epoch(event_timestamp)) as bigint) as second, count(*) as n, sum(cast(round(amount * 100) as bigint)) as cents

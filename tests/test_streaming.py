@@ -80,7 +80,7 @@ def test_bronze_and_silver(spark, feed, tmp_path):
 def test_retry_of_a_micro_batch_adds_nothing(spark, frame, tmp_path):
     path = str(tmp_path / "layer")
     for epoch, data in ((0, [(1,)]), (1, [(2,)]), (1, [(2,)])):
-        layers.append_micro_batch(frame(data, "a int"), epoch, path)
+        layers.append_micro_batch(frame(data, "a int"), epoch, path, "run")
     assert rows(spark.read.parquet(path).select("a")) == [(1,), (2,)]
 
 
@@ -294,3 +294,27 @@ def test_recent_activity_stream_equals_the_batch(spark, tmp_path):
     want = rows(batch.select("k", F.unix_seconds("moment").alias("at"), "n_recent", "cents_recent").distinct())
     assert got == want
     assert found.filter("key = 'hot'").agg(F.sum("n_rows")).first()[0] == sum(e[0] == "hot" for part in parts for e in part)
+
+
+def test_quarantine_keeps_every_message_once(spark, feed, tmp_path):
+    from tidemark.streaming import quarantine as Q
+
+    good, bad, checkpoint = (str(tmp_path / n) for n in ("good", "bad", "checkpoint"))
+    rules = {"amount": F.col("amount") < 5}
+    broken = [("not json",), (message(4)[0][:40],), (None,), ("",), ("[]",), (message(5, '"x"')[0],)]
+    batches = [[message(1), message(2, "7"), *broken[:2]], [message(3), *broken[2:]]]
+    for batch in batches:
+        Q.start_quarantine(feed(*batch), rules, good, bad, checkpoint, interval=None).awaitTermination()
+    passed, letters = spark.read.parquet(good), spark.read.parquet(bad)
+    assert {r.transaction_id for r in passed.collect()} == {"t1", "t3"} and "raw" not in passed.columns
+    got = {(r.raw, r.transaction_id, tuple(r.failed_rules)) for r in letters.collect()}
+    assert got == {(message(2, "7")[0], "t2", ("amount",)), *((b[0], None, ("parsed",)) for b in broken)}
+    assert passed.count() + letters.count() == sum(map(len, batches))
+
+    # An attempt that wrote one folder only, then the retry.
+    run = layers.run_of(spark, checkpoint)
+    judged = Q.split_messages(spark.createDataFrame([message(6), ("broken",)], MESSAGE), rules)
+    layers.append_micro_batch(judged.filter("size(failed_rules) = 0").drop("raw", "failed_rules"), 2, good, run)
+    for _ in range(2):
+        Q.write_split(judged, 2, good, bad, run)
+    assert spark.read.parquet(good).count() == 3 and spark.read.parquet(bad).count() == 8

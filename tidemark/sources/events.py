@@ -56,6 +56,21 @@ def parse_payment_events(messages: DataFrame, schema: T.StructType = PAYMENT_EVE
     return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
 
 
+def parse_or_keep(messages: DataFrame, schema: T.StructType = PAYMENT_EVENT) -> DataFrame:
+    """Typed events with ``raw``, the text of the message, and ``parsed``.
+
+    A message that is not JSON of the schema, empty or null is not parsed; then all
+    fields are null, so no half of a broken message passes for an event.
+    """
+    corrupt = "_unparsed"
+    text = F.col("value").cast("string")
+    data = F.from_json(text, T.StructType([*schema, T.StructField(corrupt, T.StringType())]), {"columnNameOfCorruptRecord": corrupt})
+    read = messages.select(text.alias("raw"), data.alias("data"))
+    parsed = F.col("data").isNotNull() & F.col(f"data.{corrupt}").isNull() & (F.length(F.trim("raw")) > 0)
+    read = read.withColumn("parsed", F.coalesce(parsed, F.lit(False)))
+    return read.select(*[F.when(F.col("parsed"), F.col(f"data.{n}")).alias(n) for n in schema.names], "raw", "parsed")
+
+
 # Fixed value: text form of event times.
 _ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 

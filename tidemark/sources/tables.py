@@ -134,11 +134,15 @@ def run_snapshot(
         closed = stored.filter(F.col(CLOSED_IN) != OPEN)
         materialize_table(closed.unionByName(result, allowMissingColumns=True), table, [CLOSED_IN], folder)
     else:
-        # Rows an earlier run of the same time has closed stay with those closed now.
-        own_id = rules.meta(SCD_ID)
-        closed_now = result.filter(F.col(CLOSED_IN) != OPEN).select(own_id)
-        before = stored.filter(F.col(CLOSED_IN) == str(as_of)).join(closed_now, own_id, "left_anti")
-        written = staged(spark, "history")(result.unionByName(before))
+        # Computed once; the table is then written from the staged result.
+        written = staged(spark, "history")(result)
+        earlier = stored.filter(F.col(CLOSED_IN) == str(as_of))
+        if not earlier.isEmpty():
+            # Rows an earlier run of the same time has closed stay with those closed now.
+            own_id = rules.meta(SCD_ID)
+            closed_now = written.filter(F.col(CLOSED_IN) != OPEN).select(own_id)
+            before = staged(spark, "closed-before")(earlier.join(closed_now, own_id, "left_anti"))
+            written = written.unionByName(before)
         replace_partitions(written, table, spark.createDataFrame([(OPEN,)], f"{CLOSED_IN} string"))
     return read_history(spark, table)
 

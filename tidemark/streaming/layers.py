@@ -28,7 +28,7 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
         return run
 
 
-def append_micro_batch(batch: DataFrame, epoch: int, path: str, run: str = "0") -> None:
+def append_micro_batch(batch: DataFrame, epoch: int, path: str, run: str) -> None:
     """Add one micro-batch to a Parquet layer.
 
     The batch has its own partition folder and overwrites it, so a retry after a
@@ -37,7 +37,7 @@ def append_micro_batch(batch: DataFrame, epoch: int, path: str, run: str = "0")
     batch.write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{EPOCH}={epoch}")
 
 
-def write_layers(batch: DataFrame, epoch: int, bronze: str, silver: str, run: str = "0") -> None:
+def write_layers(batch: DataFrame, epoch: int, bronze: str, silver: str, run: str) -> None:
     """One micro-batch into both layers; the source is read once."""
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
