@@ -2,9 +2,11 @@ import gzip
 import html
 import random
 import re
+import time
 from hashlib import sha1
 
 import numpy as np
+import pytest
 
 from compare import connect, difference
 from tidemark.llm import boosting, dom, html_extraction, queries, tool_calls, warc
@@ -122,6 +124,27 @@ def texts(source):
     return [t for _, t, _ in dom.parse(source).blocks]
 
 
+def test_tags_without_an_end():
+    texts = lambda source: [t for _, t, _ in dom.parse(source).blocks]
+    assert texts("<p>if x<y' then it's</p><p>b</p>") == ["if x<y' then it's", "b"]
+    assert texts("<p>if x<y 'a>b' then</p><p>b</p>") == ["if x", "b"]  # a tag up to the > outside quotes
+    assert texts("<p>one<b class=\"two</p><p>three<i>four</i></p>") == ['one<b class="two', "threefour"]
+    assert texts("<p title='a>b'>c</p \"x>d<p>e <") == ["c", "d", "e <"]
+    assert texts("a<!-- <p>b</p>") == ["a"] and texts("a<!b<p>c") == ["ac"] and texts("a<!b") == ["a<!b"]
+
+
+@pytest.mark.parametrize("unit", ["<a'", "x<y' ", '<a "', "<a b='c' \"", "<!--", "<", "<a", "<!", '</a "', "<svg ", "<div>", "</x>", "<header>"])
+def test_time_follows_the_length(unit):
+    def seconds(size):
+        source = "<div>" * (size // 64) + "<svg></svg>" + unit * (size // len(unit))
+        start = time.process_time()
+        dom.parse(source)
+        return time.process_time() - start
+
+    one, two, four = (min(seconds(n << 17) for _ in range(2)) for n in (1, 2, 4))
+    assert two < 3.5 * one + 0.1 and four < 7 * one + 0.2  # four and sixteen times, were it quadratic
+
+
 def test_unclosed_silent_elements_end_with_their_block():
     article = "<article><p>one</p><p>two</p></article>"
     for start in ("<label>", "<button>", "<select><option>a<option>b", "<svg><path d=x>", "<video src=x>", "<textarea>", "<iframe src=x>", "<noscript>", "<canvas>"):

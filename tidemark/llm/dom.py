@@ -2,15 +2,17 @@
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.DOTALL,
-)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# Nothing here is tried twice: a run that was read is not given back.
+OPENING = re.compile(r"<(?:!--|(?P<close>/?)(?P<tag>[a-zA-Z])|[!?/])")
+NAME_END = re.compile(r"[\s/>]")
+ENDS_OR_QUOTES = re.compile(r"[>\"']")
+TAG = re.compile(r"<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 WORD = re.compile(r"[a-z]+")
 
 # What these elements hold is never text of the page.
@@ -102,6 +104,82 @@ def _groups(tag: str, attributes: str) -> tuple[int, int]:
     return bits, label
 
 
+class Scanner:
+    """Tags and comments of a page, in time proportional to its length.
+
+    A tag runs from ``<`` and a letter (or ``</`` and a letter) to the next ``>`` that
+    stands in no quotes. One without such an end is text; an end tag then runs to the
+    next ``>``, as declarations do. A comment without an end runs to the end of the page.
+
+    After the first tag without an end the scanner reads on in steps: from quote to
+    closing quote. Two ways of reading that meet at an opening quote go on alike, so a
+    quote from which no end was found is remembered and never followed again.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.steps = False
+        self.dead: set[int] = set()  # opening quotes from which no end is found
+        self.found: dict[object, tuple[int, int]] = {}  # pattern: last search, and what it found
+
+    def _next(self, what, at: int) -> int:
+        """The next place of a pattern or text, the page's length without one."""
+        since, place = self.found.get(what, (0, -1))
+        if not since <= at <= place:
+            if isinstance(what, str):
+                place = self.source.find(what, at)
+            else:
+                match = what.search(self.source, at)
+                place = match.start() if match else -1
+            place = len(self.source) if place < 0 else place
+            self.found[what] = at, place
+        return place
+
+    def _end(self, at: int) -> int:
+        """The place of the ``>`` that ends a tag, -1 without one."""
+        source, way = self.source, []
+        at = self._next(ENDS_OR_QUOTES, at)
+        while at < len(source) and source[at] != ">":
+            closing = -1 if at in self.dead else source.find(source[at], at + 1)
+            if closing < 0:
+                at = len(source)
+                break
+            way.append(at)
+            match = ENDS_OR_QUOTES.search(source, closing + 1)
+            at = match.start() if match else len(source)
+        if at < len(source):
+            return at
+        self.dead.update(way)
+        return -1
+
+    def token(self, at: int):
+        """The next token from a place on: its start, its end, whether it is an end tag,
+        the tag's name and its attributes (no name: nothing to read). None at the end."""
+        source = self.source
+        while opening := OPENING.search(source, at):
+            start, at = opening.span()
+            if opening["tag"] is not None:
+                if not self.steps:
+                    if tag := TAG.match(source, start):
+                        return start, tag.end(), tag["close"], tag["tag"], tag["attributes"]
+                    self.steps = True
+                name = at - 1
+                name_end = self._next(NAME_END, name)
+                end = self._end(name_end)
+                if end >= 0:
+                    return start, end + 1, opening["close"], source[name:name_end], source[name_end:end]
+                if not opening["close"]:
+                    continue
+                at = start + 2
+            elif source.startswith("<!--", start):
+                end = source.find("-->", at)
+                return start, len(source) if end < 0 else end + 3, "", None, ""
+            end = self._next(">", at)
+            if end < len(source):
+                return start, end + 1, "", None, ""
+        return None
+
+
 def parse(source: str) -> Page:
     """The page's block nodes and its blocks of text.
 
@@ -120,10 +198,12 @@ def parse(source: str) -> Page:
     links = silent = 0  # silent: place on the stack of the first silent element
     loose = False  # a silent element without an end tag is open
     tags: dict[tuple[bool, str], tuple[int, int]] = {}
+    opened = Counter()  # names on the stack
     pieces: list[str] = []
     linked = 0
     children = [0]
     at, size = 0, len(source)
+    scanner = Scanner(source)
 
     def flush():
         nonlocal linked
@@ -138,6 +218,8 @@ def parse(source: str) -> Page:
         nonlocal silent, loose
         if depth < silent or not silent:
             flush()
+        for name, _ in open_[depth:]:
+            opened[name] -= 1
         del open_[depth:]
         if depth <= silent:
             silent, loose = 0, False
@@ -147,8 +229,9 @@ def parse(source: str) -> Page:
         where = tags.get((closing, tag), (-1, 0))
         if where[0] < at:
             slash = "/" if closing else ""
-            match = re.compile(rf"<{slash}{tag}(?![^\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-            where = tags[closing, tag] = match.span() if match else (size + 1, size)
+            match = re.compile(rf"<{slash}{tag}(?![^\s/>])", re.IGNORECASE).search(source, at)
+            end = source.find(">", match.end()) if match else -1
+            where = tags[closing, tag] = (size + 1, size) if end < 0 else (match.start(), end + 1)
         return where
 
     def end_silent(tag: str):
@@ -156,6 +239,8 @@ def parse(source: str) -> Page:
         if loose:
             pop_to(silent)
             return
+        if not (opened["svg"] or opened["button"] or opened["select"]):
+            return
         for k in range(len(open_) - 1, silent - 1, -1):
             name = open_[k][0]
             if name in ("foreignobject", "desc", "title", "template"):
@@ -165,8 +250,8 @@ def parse(source: str) -> Page:
                 return
 
     while at < size:
-        found = TOKEN.search(source, at)
-        stop = found.start() if found else size
+        found = scanner.token(at)
+        stop = found[0] if found else size
         if stop > at and not silent:
             text = source[at:stop]
             if "&" in text:
@@ -176,20 +261,17 @@ def parse(source: str) -> Page:
                 linked += len(text)
         if not found:
             break
-        at = found.end()
-        tag = found["tag"]
+        _, at, closing, tag, attributes = found
         if tag is None:
             continue
-        tag, closing = tag.lower(), found["close"]
-        in_svg = silent and any(name == "svg" for name, _ in open_[silent:])
-        if in_svg and not closing and found["attributes"].endswith("/"):
+        tag = tag.lower()
+        in_svg = opened["svg"] > 0  # silent elements stand nowhere but in the silent part
+        if in_svg and not closing and attributes.endswith("/"):
             continue
         if tag in SILENT:
             if closing:
-                for k in range(len(open_) - 1, silent - 1 if silent else len(open_), -1):
-                    if open_[k][0] == tag:
-                        pop_to(k)
-                        break
+                if opened[tag]:
+                    pop_to(next(k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == tag))
                 continue
             end, after = next_tag(tag, True)
             if tag in RAW and end < (next_tag("svg", True)[0] if in_svg else size):
@@ -197,12 +279,13 @@ def parse(source: str) -> Page:
                 continue
             if tag in ("script", "style") and not in_svg:
                 break
-            if found["attributes"].endswith("/") and tag not in RAW:
+            if attributes.endswith("/") and tag not in RAW:
                 continue
-            if silent and loose and any(name == tag for name, _ in open_[silent:]):
+            if silent and loose and opened[tag]:
                 pop_to(silent)
             closed = end < size and (tag in NESTS or tag in RAW or next_tag(tag, False)[0] > end)
             open_.append((tag, open_[-1][1]))
+            opened[tag] += 1
             if not silent:
                 silent = len(open_) - 1
                 loose = not closed and tag != "template"
@@ -220,29 +303,29 @@ def parse(source: str) -> Page:
                 links = 0 if closing else 1
             continue
         if closing:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k][0] == tag:
-                    if k < silent or not silent:
-                        links = 0
-                    pop_to(k)
-                    break
+            if opened[tag]:
+                k = next(k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == tag)
+                if k < silent or not silent:
+                    links = 0
+                pop_to(k)
             continue
         if silent and tag in TAG_ID:
             end_silent(tag)
         if not silent:
             flush()
         ends = ENDS.get(tag) or ({"p"} if tag in CLOSES_P else ())
-        if ends:
+        if any(opened[name] for name in ends):
             for k in range(len(open_) - 1, silent, -1):
                 if open_[k][0] in ends:
                     pop_to(k)
                 elif open_[k][0] in SCOPE:
                     break
         up = open_[-1][1]
+        opened[tag] += 1
         if silent:
             open_.append((tag, up))
             continue
-        bits, label = _groups(tag, found["attributes"])
+        bits, label = _groups(tag, attributes)
         node = len(page.tag)
         page.tag.append(TAG_ID.get(tag, 0))
         page.parent.append(up)
