@@ -99,6 +99,28 @@ def test_forward_sums_all_segmentations():
     assert abs(spelled - 5) < 1e-9  # the segmentations cover every character once
 
 
+def test_products_too_small_for_a_number():
+    path = public_tokenizers.path(queries.PIECES)
+    pieces, most = language_id.vocabulary(path)
+    letter = "\U00010330"  # no piece holds it
+    assert letter not in pieces
+    chances = np.full((len(pieces) + 1, 2), 1e-5)
+    chances[-1] = 2e-11, 1e-12
+    words = ["haus", letter * 5, letter * 32]
+    got = language_id.forward(words, path, chances)
+    assert np.isfinite(got).all()
+    for n, row in ((5, got[1]), (32, got[2])):
+        assert np.allclose(row, np.log(chances[pieces[language_id.START]]) + n * np.log(chances[-1]))
+    assert np.allclose(got[0], language_id.forward(["haus"], path, chances)[0])
+    ids, counts = language_id.expected(letter * 32, pieces, most, chances[:, 1])
+    assert abs(sum(counts) - 33) < 1e-6 and ids.count(len(pieces)) == 32
+    # In logs and as plain products alike.
+    word = "información"
+    found = language_id.matches(word, pieces, most)
+    plain = language_id.expected(word, pieces, most, chances[:, 0])[1]
+    assert np.allclose(plain, language_id._expected_in_logs(found, np.log(chances[[p for _, _, p in found], 0]).tolist(), len(word) + 1))
+
+
 def test_held_out_languages(llm_spark, documents):
     import duckdb
 

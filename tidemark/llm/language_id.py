@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from tidemark.llm.runtime import remembered, stored
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 START = "▁"
 UNDECIDED = "und"
+# Below this a product of chances may have lost terms; it is computed again in logs.
+TINY = 1e-250
 
 
 @dataclass(frozen=True)
@@ -159,7 +162,20 @@ def forward(words: list[str], path: str, chances: np.ndarray) -> np.ndarray:
     for end in range(1, width + 1):
         for size, rows, pieces in steps[end]:
             alpha[end, rows] += alpha[end - size, rows] * chances[pieces]
-    return np.log(alpha[lengths, np.arange(len(words))])
+    total = alpha[lengths, np.arange(len(words))]
+    low = (total < TINY).any(axis=1)
+    scores = np.log(np.maximum(total, TINY))
+    if low.any():
+        place, logs = np.cumsum(low) - 1, np.log(chances)
+        alpha = np.full((width + 1, int(low.sum()), chances.shape[1]), -np.inf)
+        alpha[0] = 0.0
+        for end in range(1, width + 1):
+            for size, rows, pieces in steps[end]:
+                again = low[rows]
+                at = place[rows[again]]
+                alpha[end, at] = np.logaddexp(alpha[end, at], alpha[end - size, at] + logs[pieces[again]])
+        scores[low] = alpha[lengths[low], np.arange(len(alpha[0]))]
+    return scores
 
 
 def expected(word: str, pieces: dict[str, int], most: int, chance: np.ndarray) -> tuple[list[int], list[float]]:
@@ -173,9 +189,21 @@ def expected(word: str, pieces: dict[str, int], most: int, chance: np.ndarray) -
         before[j] += before[i] * w
     for (i, j, _), w in zip(reversed(found), reversed(weights)):
         after[i] += after[j] * w
+    if before[size] < TINY:
+        return [p for _, _, p in found], _expected_in_logs(found, [log(w) for w in weights], size)
     return [p for _, _, p in found], [before[i] * w * after[j] / before[size] for (i, j, _), w in zip(found, weights)]
 
 
+def _expected_in_logs(found: list[tuple[int, int, int]], weights: list[float], size: int) -> list[float]:
+    before, after = np.full(size + 1, -np.inf), np.full(size + 1, -np.inf)
+    before[0] = after[size] = 0.0
+    for (i, j, _), w in zip(found, weights):
+        before[j] = np.logaddexp(before[j], before[i] + w)
+    for (i, j, _), w in zip(reversed(found), reversed(weights)):
+        after[i] = np.logaddexp(after[i], after[j] + w)
+    return [exp(before[i] + w + after[j] - before[size]) for (i, j, _), w in zip(found, weights)]
+
+
 @dataclass(frozen=True)
 class Model:
     path: str
@@ -259,11 +287,12 @@ def fit(labelled: DataFrame, path: str, settings: Settings = Settings()) -> Mode
     languages = tuple(r["lang"] for r in words.select("lang").distinct().orderBy("lang").collect())
     size = len(pieces) + 1
     model = Model(path, languages, np.full((size, len(languages)), 1.0 / size), settings)
+    column = {lang: k for k, lang in enumerate(languages)}
     for _ in range(settings.rounds if languages else 0):
         shared = spark.sparkContext.broadcast(model)
         counts = np.full((size, len(languages)), settings.added)
         for row in _expected_counts(words, shared).toLocalIterator():
-            counts[row["piece"], languages.index(row["lang"])] += row["n"]
+            counts[row["piece"], column[row["lang"]]] += row["n"]
         shared.unpersist()
         model = Model(path, languages, counts / counts.sum(axis=0), settings)
     return model
