@@ -330,7 +330,7 @@ def without_repeats(docs: DataFrame, text: str, settings: Settings = Settings())
     found = stored(
         long.mapInArrow(_find_anchors(settings.length), "gram bigint, k1 bigint, k2 bigint, place bigint"), "anchors"
     )
-    site = F.shiftright(F.xxhash64(*KEY, "place"), 33).cast("int")
+    site = F.xxhash64(*KEY, "place")
     twice = found.groupBy("gram").agg(F.min(site).alias("least"), F.max(site).alias("most"), F.count("*").alias("sites"))
     frequent = (F.col("sites") > settings.often).alias("frequent")
     twice = stored(twice.where("least <> most").select("gram", frequent), "repeated-grams")
