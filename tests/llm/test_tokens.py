@@ -21,7 +21,6 @@ RANKS = public_tokenizers.path(queries.RANKS)
 @pytest.fixture(scope="module")
 def word_ids():
     loaded = Tokenizer.from_file(WORDS)
-    loaded.encode_special_tokens = True
     return lambda text: np.array([*loaded.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
 
@@ -76,12 +75,21 @@ def test_packing_of_awkward_rows(awkward, nothing, word_ids):
 
 def test_words_encode_as_the_whole_text(word_ids):
     rng = random.Random(1)
-    alphabet = ["a", "B", "Éa", "ß", "it's", "'S", "don't", " ", "\n", "\t", "\x0b", " ", "\x85", "12", "...", "##", "é", "é", "İ", "Σ", "ΑΣ", "日本", "<|endoftext|>", "\U0001f600", "word,", "x.y", "ÿ"]
+    alphabet = ["a", "B", "Éa", "ß", "it's", "'S", "don't", " ", "\n", "\t", "\x0b", " ", "\x85", "12", "...", "##", "é", "é", "İ", "Σ", "ΑΣ", "日本", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|ENDOFTEXT|>", "\U0001f600", "word,", "x.y", "ÿ"]
     encoder = bin_slack.WordEncoder(WORDS, bin_slack.Settings(kept=20, block=7))
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(400)]
     assert list(encoder.ids([t.encode() for t in texts])) == [word_ids(t).tobytes() for t in texts]
 
 
+def test_special_strings_have_their_ids(word_ids):
+    """As the plain call of the tokenizer has it."""
+    encoder = bin_slack.WordEncoder(WORDS, bin_slack.Settings())
+    (found,) = encoder.ids([b"end <|endoftext|>more,<|startoftext|> x"])
+    ids = np.frombuffer(found, "<u4").tolist()
+    assert ids.count(49407) == 1 and ids.count(49406) == 1
+    assert ids == word_ids("end <|endoftext|>more,<|startoftext|> x").tolist()
+
+
 def test_fullest_against_all_choices():
     rng = random.Random(2)
     for _ in range(200):

@@ -43,9 +43,7 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True  # their strings in a text are ordinary text
-    return loaded
+    return Tokenizer.from_file(path)
 
 
 # Letters whose lower case is one letter of the same set, then ASCII punctuation
