@@ -170,7 +170,10 @@ class Scanner:
                     return start, end + 1, opening["close"], source[name:name_end], source[name_end:end]
                 if not opening["close"]:
                     continue
-                at = start + 2
+                end = self._next(">", name_end)
+                if end < len(source):
+                    return start, end + 1, "/", source[name:name_end], ""
+                continue
             elif source.startswith("<!--", start):
                 end = source.find("-->", at)
                 return start, len(source) if end < 0 else end + 3, "", None, ""
