@@ -7,6 +7,11 @@ from tidemark.operators import monitoring as M
 
 _CENTS = "cast(round(amount * 100) as bigint)"
 
+VOLUME_BY_MONTH = """with c as (select date_trunc('month', payment_timestamp)::timestamp as period, count(*) as n from payments where payment_timestamp is not null group by 1),
+            s as (select unnest(generate_series(min(period), max(period), interval 1 month))::timestamp as period from c),
+            f as (select period, coalesce(n, 0) as n_rows from s left join c using (period))
+       select *, lag(n_rows) over (order by period) as n_before, coalesce(n_rows < 0.9 * lag(n_rows) over (order by period), false) as dropped from f"""
+
 
 def _cents(df):
     return df.withColumn("cents", F.round(F.col("amount") * 100).cast("long"))
@@ -41,14 +46,7 @@ def payment_features_1h(v):
     return found.select("transaction_id", "user_id", "n_recent", "cents_recent")
 
 
-@query(
-    "volume_check",
-    """with c as (select date_trunc('month', payment_timestamp)::timestamp as period, count(*) as n from payments where payment_timestamp is not null group by 1),
-            s as (select unnest(generate_series(min(period), max(period), interval 1 month))::timestamp as period from c),
-            f as (select period, coalesce(n, 0) as n_rows from s left join c using (period))
-       select *, lag(n_rows) over (order by period) as n_before, coalesce(n_rows < 0.9 * lag(n_rows) over (order by period), false) as dropped from f""",
-    "payments",
-)
+@query("volume_check", VOLUME_BY_MONTH, "payments")
 def volume_check(v):
     found = M.volume_check(v.payments, "payment_timestamp", "month", 0.9)
     return found.withColumn("period", F.col("period").cast("timestamp_ntz"))

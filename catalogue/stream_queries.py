@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalogue.monitoring_queries import VOLUME_BY_MONTH
 from catalogue.registry import query
 from catalogue.source_queries import BOTH_LAYERS, both_layers
 from tidemark.plans.risk import risk_flagging
@@ -13,6 +14,7 @@ from tidemark.streaming.activity import recent_activity_stream, start_recent_act
 from tidemark.streaming.layers import start_bronze_silver, start_landing
 from tidemark.streaming.quarantine import start_quarantine
 from tidemark.streaming.settings import stateful_stream
+from tidemark.streaming.volume import start_volume, volume_so_far
 
 TIMEOUT = "60 days"
 MESSAGE = T.StructType([T.StructField("value", T.StringType(), True)])
@@ -218,3 +220,15 @@ def stream_late_label(v):
 def stream_reconcile_batch(v):
     # Enriched last, so the accounts are joined once.
     return _plain(L.enrich(L.reconcile_batch(_payments(v), _labels(v), TIMEOUT), _profiles(v)))
+
+
+@query("stream_volume_check", VOLUME_BY_MONTH, "payments")
+def stream_volume_check(v):
+    """The payments as a file stream; the check reads the metrics of its micro-batches."""
+    feed, path, checkpoint = (fresh_folder(v.spark, n) for n in ("payments", "volume", "checkpoint"))
+    payments = _payments(v)
+    payments.write.parquet(feed)
+    stream = open_stream(v.spark, "parquet", {"path": feed, "maxFilesPerTrigger": "4"}, payments.schema)
+    start_volume(stream, "timestamp", "month", path, checkpoint, interval=None).awaitTermination()
+    found = volume_so_far(v.spark.read.parquet(path), "month", 0.9)
+    return found.withColumn("period", F.col("period").cast("timestamp_ntz"))

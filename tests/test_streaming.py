@@ -318,3 +318,34 @@ def test_quarantine_keeps_every_message_once(spark, feed, tmp_path):
     for _ in range(2):
         Q.write_split(judged, 2, good, bad, run)
     assert spark.read.parquet(good).count() == 3 and spark.read.parquet(bad).count() == 8
+
+
+def test_volume_of_a_stream_equals_the_batch(spark, tmp_path):
+    from tidemark.operators.monitoring import volume_check
+    from tidemark.streaming import volume as V
+
+    feed, path, checkpoint = (str(tmp_path / n) for n in ("feed", "volume", "checkpoint"))
+    schema = "at timestamp, epoch_id int, period string"  # names that the metrics use too
+    first = [(datetime(2024, 1, d, 5), 1, "x") for d in (1, 2, 31)] + [(None, None, None)]
+    second = [(datetime(2024, 4, 1), 1, "x"), (datetime(2024, 1, 9), 1, "x"), (datetime(2024, 1, 9), 1, "x"), (None, 2, "y")]
+    for rows in (first, second):  # the second run goes on under the same checkpoint; two of its rows are late
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(schema).parquet(feed)
+        V.start_volume(stream, "at", "month", path, checkpoint, interval=None).awaitTermination()
+
+    def so_far():
+        return sorted(map(tuple, V.volume_so_far(spark.read.parquet(path)).collect()))
+
+    want = sorted(map(tuple, volume_check(spark.createDataFrame(first + second, schema), "at").collect()))
+    assert so_far() == want and [r[1:] for r in want] == [(5, None, False), (0, 5, True), (0, 0, False), (1, 0, False)]
+    metrics = spark.read.parquet(path)
+    assert metrics.filter("period is null").agg(F.sum("n_rows")).first()[0] == 2
+    assert metrics.agg(F.max("latest"), F.min("earliest")).first()[:] == (datetime(2024, 4, 1), datetime(2024, 1, 1, 5))
+
+    # A micro-batch that is tried again counts once.
+    run = layers.run_of(spark, checkpoint)
+    more = spark.createDataFrame([(datetime(2024, 5, 1), 1, "x")], schema)
+    for _ in range(2):
+        V.count_micro_batch(more, 7, "at", "month", path, run)
+    assert [r[1:] for r in so_far()][-1] == (1, 1, False)
+    assert V.volume_so_far(spark.read.parquet(path).limit(0)).count() == 0

@@ -63,7 +63,11 @@ def volume_check(df: DataFrame, moment: str, period: str = "month", least_share:
     """Rows per period, those of the period before, and whether they dropped below a
     share of them. A period without rows between the first and the last one has 0."""
     counts = df.filter(F.col(moment).isNotNull()).groupBy(F.date_trunc(period, moment).alias("period"))
-    counts = counts.agg(F.count("*").alias("n_rows"))
+    return volume_drops(counts.agg(F.count("*").alias("n_rows")), period, least_share)
+
+
+def volume_drops(counts: DataFrame, period: str, least_share: float) -> DataFrame:
+    """``volume_check`` from the rows of every period that has some."""
     counts = _periods(counts, period).join(counts, "period", "left")
     counts = counts.withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
     before = F.lag("n_rows").over(Window.orderBy("period"))  # one row per period
