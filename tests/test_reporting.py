@@ -43,6 +43,35 @@ def test_suite_scans_once_for_row_conditions(spark, frame, tmp_path):
     assert plan.count("FileScan") == 1
 
 
+def test_key_tests_agree_with_the_single_tests(spark, frame, tmp_path):
+    own = [(1, "a", 0.0), (1, "b", -0.0), (2, None, None), (3, "b", 2.0), (None, "z", 2.0), (9, "z", 3.0)]
+    frame(own, "n int, k string, x double").write.parquet(str(tmp_path / "own"))
+    frame([(1, "a", 2.0), (3, None, 0.0), (3, "b", 9.0)], "n int, k string, x double").write.parquet(str(tmp_path / "other"))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in ("own", "other")}
+    tests, want = [], {}
+    for column in ("n", "k", "x"):
+        for where in (None, "n < 3"):
+            df = tables["own"].filter(where) if where else tables["own"]
+            other, name = tables["other"], f"{column} {where}"
+            distinct = [t.filter(f"{column} is not null").select(column).distinct().count() for t in (df, other)]
+            for kind, failures in (
+                ("unique", Q.unique(df, column).count()),
+                ("known", Q.relationships(df, column, other, column).count()),
+                ("as_many", int(distinct[0] != distinct[1])),
+            ):
+                beside = (None, None) if kind == "unique" else ("other", column)
+                tests.append(P.TableTest(f"{kind} {name}", "own", keys=P.KeyTest(kind, column, *beside), where=where))
+                want[tests[-1].name] = failures
+    report = P.run_suite(tables, tests)
+    assert {r.test_name: r.failures for r in report.collect()} == want and sum(want.values()) > 5
+    planned = P.run_suite(tables, tests)._jdf.queryExecution().executedPlan().toString()  # not run: each scan stands once
+    assert planned.count("FileScan") == 2
+    empty = {name: t.limit(0) for name, t in tables.items()}
+    assert {r.failures for r in P.run_suite(empty, tests).collect()} == {0}
+    with pytest.raises(ValueError, match="different types"):
+        P.run_suite(tables, [P.TableTest("t", "own", keys=P.KeyTest("known", "n", "other", "k"))])
+
+
 def test_declared_tests_find_faults(frame):
     mart = frame(
         [("p1", "a1", None, None, "2020-01-01 00:00:00", "2021-01-01", True), ("p1", "a9", True, True, "2022-01-01 00:00:00", "2021-01-01", False)],

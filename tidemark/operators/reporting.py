@@ -33,9 +33,10 @@ def run_test(
 @dataclass(frozen=True)
 class TableTest:
     """A declared test: a row condition of failing rows, an aggregate that counts
-    failures, or a function to failing rows.
+    failures, a test of keys, or a function to failing rows.
 
-    Tests given by ``row_fails`` or ``failures`` share one scan of the table.
+    Tests given by ``row_fails`` or ``failures`` share one scan of the table, all tests
+    of keys another one, whatever their number.
     """
 
     name: str
@@ -43,11 +44,80 @@ class TableTest:
     row_fails: Column | None = None
     failures: Column | None = None
     failing: Callable[[dict[str, DataFrame]], DataFrame] | None = None
+    keys: "KeyTest | None" = None
     fail_calc: str = "count(*)"
     severity: str = "error"
     where: str | None = None
 
 
+@dataclass(frozen=True)
+class KeyTest:
+    """What must hold of a column's non-null values, within the table or beside another.
+
+    ``unique``: no value stands in two rows; failures are values. ``known``: each
+    row's value stands in column ``field`` of table ``to``; failures are rows.
+    ``as_many``: both columns have as many different values; one failure if not.
+    Both columns have one type. A ``where`` of the test holds for its own table.
+    """
+
+    kind: str
+    column: str
+    to: str | None = None
+    field: str | None = None
+
+
+# Failures of a test of keys from the sums over its values.
+KEY_FAILURES = {
+    "unique": "repeated",
+    "known": "orphans",
+    "as_many": "if(own_values <> other_values, 1, 0)",
+}
+
+
+def _key_text(df: DataFrame, column: str) -> Column:
+    """A value as text, equal for equal values: minus zero is zero."""
+    fraction = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+    return (F.col(column) + F.lit(0.0).cast(df.schema[column].dataType) if fraction else F.col(column)).cast("string")
+
+
+def _key_counts(tables: dict[str, DataFrame], tests: list[TableTest]) -> DataFrame:
+    """``test`` (its place) and ``failures`` of tests of keys.
+
+    Each table is read once: a row gives one (test, value) for each test it takes part
+    in. These are counted before the shuffle and grouped once for all tests.
+    """
+    marks: dict[str, list[Column]] = {}
+    for i, t in enumerate(tests):
+        sides = [(t.table, t.keys.column, t.where, 0)]
+        if t.keys.to is not None:
+            sides.append((t.keys.to, t.keys.field, None, 1))
+            types = {tables[name].schema[column].dataType for name, column, _, _ in sides}
+            if len(types) > 1:
+                raise ValueError(f"{t.name}: {t.keys.column} and {t.keys.field} have different types")
+        for name, column, where, side in sides:
+            value = _key_text(tables[name], column)
+            value = F.when(F.expr(where), value) if where else value
+            mark = F.struct(F.lit(i).alias("test"), value.alias("value"), F.lit(1 - side).alias("own"), F.lit(side).alias("other"))
+            marks.setdefault(name, []).append(mark)
+    parts = [tables[name].select(F.inline(F.array(*found))) for name, found in marks.items()]
+    values = reduce(DataFrame.unionByName, parts).filter(F.col("value").isNotNull())
+    counted = values.groupBy("test", "value").agg(F.sum("own").alias("own"), F.sum("other").alias("other"))
+
+    def total(condition: Column, amount=1) -> Column:
+        return F.sum(F.when(condition, amount).otherwise(0))
+
+    sums = counted.groupBy("test").agg(
+        total(F.col("own") > 1).alias("repeated"),
+        total(F.col("other") == 0, F.col("own")).alias("orphans"),
+        total(F.col("own") > 0).alias("own_values"),
+        total(F.col("other") > 0).alias("other_values"),
+    )
+    failures = F.lit(None).cast("long")
+    for i, t in enumerate(tests):
+        failures = F.when(F.col("test") == i, F.expr(KEY_FAILURES[t.keys.kind])).otherwise(failures)
+    return sums.select("test", failures.cast("long").alias("failures"))
+
+
 def _verdicts(counts: DataFrame) -> DataFrame:
     """Status per test row with columns test_name, severity, failures."""
     failed = F.col("failures") != 0
@@ -58,12 +128,21 @@ def _verdicts(counts: DataFrame) -> DataFrame:
 def run_suite(tables: dict[str, DataFrame], tests: list[TableTest]) -> DataFrame:
     """Report with one row per test: table_name, test_name, severity, failures, status.
 
-    All row conditions and aggregates on a table become one aggregation, whatever
-    their number; the other tests run as their own branches of one union.
+    All row conditions and aggregates on a table become one aggregation, all tests of
+    keys one grouping, whatever their number; the other tests run as their own
+    branches of one union.
     """
     parts = []
+    keyed = [t for t in tests if t.keys is not None]
+    if keyed:
+        known = F.array(
+            *(F.struct(F.lit(t.table).alias("table_name"), F.lit(t.name).alias("test_name"), F.lit(t.severity).alias("severity")) for t in keyed)
+        )
+        named = tables[keyed[0].table].sparkSession.range(1).select(F.posexplode(known).alias("test", "of"))
+        found = named.join(_key_counts(tables, keyed), "test", "left")  # a test without values has no counts
+        parts.append(found.select("of.*", F.coalesce("failures", F.lit(0).cast("long")).alias("failures")))
     for table in dict.fromkeys(t.table for t in tests):
-        fused = [t for t in tests if t.table == table and t.failing is None]
+        fused = [t for t in tests if t.table == table and t.failing is None and t.keys is None]
         if fused:
             sums = []
             for i, t in enumerate(fused):

@@ -2,8 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import quality as Q
-from tidemark.operators.reporting import TableTest
+from tidemark.operators.reporting import KeyTest, TableTest
 
 MART = "unified_payment_intelligence"
 
@@ -13,7 +12,7 @@ def _not_null(table, column):
 
 
 def _unique(table, column):
-    return TableTest(f"unique_{column}", table, failing=lambda tables: Q.unique(tables[table], column))
+    return TableTest(f"unique_{column}", table, keys=KeyTest("unique", column))
 
 
 def _accepted(table, column, values, severity="error"):
@@ -30,9 +29,7 @@ def declared_tests(min_rows: int = 100) -> list[TableTest]:
         TableTest(
             "relationships_source_account_id",
             MART,
-            failing=lambda tables: Q.relationships(
-                tables[MART], "source_account_id", tables["stg_accounts"], "account_id"
-            ),
+            keys=KeyTest("known", "source_account_id", "stg_accounts", "account_id"),
         ),
         _accepted(MART, "is_fraud_flag", [True, False], severity="warn"),
         TableTest(
@@ -45,7 +42,8 @@ def declared_tests(min_rows: int = 100) -> list[TableTest]:
         TableTest(
             "fraud_counts_match",
             MART,
-            failing=lambda tables: Q.fraud_counts_match(tables[MART], tables["stg_fraud_cases"]),
+            keys=KeyTest("as_many", "payment_id", "stg_fraud_cases", "payment_id"),
+            where="is_fraud_flag",
         ),
         _unique("stg_payments", "payment_id"),
         _not_null("stg_payments", "payment_id"),
