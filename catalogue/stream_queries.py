@@ -128,12 +128,11 @@ def _matched_stream(v):
     payments, payment_folder = _stored_stream(v, L.enrich(_payments(v), _profiles(v)), "payments")
     labels, label_folder = _stored_stream(v, _labels(v), "labels")
     path, checkpoint = fresh_folder(v.spark, "final"), fresh_folder(v.spark, "checkpoint")
-    with stateful_stream(v.spark, 8):
-        L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
-        _close(v, payment_folder, payments.schema, "timestamp")
-        _close(v, label_folder, labels.schema, "label_ts")
-        L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
-    found = v.spark.read.parquet(path).filter(F.col("payment_id") != _SENTINEL)
+    L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
+    _close(v, payment_folder, payments.schema, "timestamp")
+    _close(v, label_folder, labels.schema, "label_ts")
+    L.start_label_matching(payments, labels, TIMEOUT, path, checkpoint, interval=None).awaitTermination()
+    found = v.spark.read.parquet(path).drop("run_id", "epoch_id").filter(F.col("payment_id") != _SENTINEL)
     return _plain(found.withColumn("outcome", F.col("outcome").cast("string")))
 
 

@@ -1,5 +1,7 @@
 """Streams from files against the batch form; several runs of one checkpoint move the watermark."""
 
+import os
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -12,6 +14,7 @@ from tidemark.sources import events as E
 from tidemark.streaming import labels as L
 from tidemark.streaming import layers
 from tidemark.streaming.settings import ROCKSDB, stateful_stream
+from tidemark.streaming.waiting import read_ledger
 
 MESSAGE = struct("value string")
 PAYMENT = struct(
@@ -349,3 +352,76 @@ def test_volume_of_a_stream_equals_the_batch(spark, tmp_path):
         V.count_micro_batch(more, 7, "at", "month", path, run)
     assert [r[1:] for r in so_far()][-1] == (1, 1, False)
     assert V.volume_so_far(spark.read.parquet(path).limit(0)).count() == 0
+
+
+# --- waiting payments in files -------------------------------------------------------
+
+
+def _label_history(seed, n):
+    """Payments in order of time, some repeated, and labels up to 60 seconds after them, some of nothing."""
+    draw = random.Random(seed)
+    payments = [(f"p{draw.randrange(n // 2)}", "a1", "a2", float(k % 3), at(draw.randrange(k, k + 5))) for k in range(n)]
+    payments += draw.choices(payments, k=n // 8)
+    labels = [(p[0], draw.choice("AB"), None, p[4] + timedelta(seconds=draw.randrange(-5, 60))) for p in draw.choices(payments, k=n // 2)]
+    return sorted(payments, key=lambda p: p[4]), sorted(labels, key=lambda x: x[3])
+
+
+def _micro_batches(frame, tmp_path, payments, labels, timeout, steps, fan, again=()):
+    """Records of match_micro_batch over slices of time; the epochs in ``again`` run twice, as after a failure."""
+    root, out, ledgers = str(tmp_path / "waiting"), str(tmp_path / "out"), []
+    cuts = [at(k * 40) for k in range(steps - 1)]
+    slices = list(zip([at(-100), *cuts], [*cuts, at(100_000)], strict=True))
+    for epoch, (low, high) in enumerate(slices):
+        part = [frame([r for r in side if low <= r[m] < high], s) for side, s, m in ((payments, PAYMENT, 4), (labels, LABEL, 3))]
+        for _ in range(2 if epoch in again else 1):
+            layers.append_micro_batch(L.match_micro_batch(*part, epoch, root, timeout, fan=fan), epoch, out, "r", ["outcome"])
+        ledgers.append(read_ledger(part[0].sparkSession, root, epoch))
+    return part[0].sparkSession.read.parquet(out), ledgers, root
+
+
+def test_micro_batches_equal_the_batch_with_merges_and_retries(spark, frame, tmp_path):
+    payments, labels = _label_history(7, 240)
+    timeout = "30 seconds"
+    closing = ("end", None, None, None, at(90_000)), ("end", None, None, at(90_000))
+    found, ledgers, root = _micro_batches(frame, tmp_path, [*payments, closing[0]], [*labels, closing[1]], timeout, 8, 2, (0, 3, 7))
+    found = found.filter("payment_id <> 'end'")
+    batch = L.reconcile_batch(frame(payments, PAYMENT), frame(labels, LABEL), timeout)
+    finals = found.filter("outcome <> 'late_label'").select(batch.columns)
+    assert rows(finals) == rows(batch) and {r.outcome for r in batch.collect()} == {"matched", "timed_out"}
+    late = L.late_labels(frame(payments, PAYMENT), frame(labels, LABEL), timeout).drop("label_ts")
+    assert rows(found.filter("outcome = 'late_label'").select(late.columns)) == rows(late) and late.count() > 0
+    # Only the closing payment is left waiting, and files out of use are gone.
+    assert all(s.last >= ledgers[-1].watermark for found in ledgers[-1].segments.values() for s in found)
+    used = {s.path for ledger in ledgers[-2:] for found in ledger.segments.values() for s in found}
+    kept = {os.path.join(root, kind, f) for kind in ("payments", "settled", "labels") for f in os.listdir(os.path.join(root, kind))}
+    assert used <= kept
+    assert len([k for k in kept if "/payments/" in k]) < 8
+
+
+def test_segments_in_use_grow_with_the_logarithm(spark, frame, tmp_path):
+    payments, labels = _label_history(3, 160)
+    _, ledgers, _ = _micro_batches(frame, tmp_path, payments, labels, "9 hours", 5, 2)
+    levels = [sorted(s.level for s in ledger.segments.get("payments", [])) for ledger in ledgers]
+    assert levels == [[], [0], [1], [0, 1], [2]]  # the first slice holds no payment
+    waiting = spark.read.parquet(*[s.path for s in ledgers[-1].segments["payments"]])
+    assert waiting.count() <= len(payments)  # matched ones were left out by the merges
+
+
+def test_late_arrivals_are_not_lost(frame, tmp_path):
+    root = str(tmp_path / "waiting")
+    first = frame([("p", "a1", "a2", 1.0, at(100))], PAYMENT), frame([("late", "A", None, at(5)), ("x", "A", None, at(100))], LABEL)
+    assert outcome(L.match_micro_batch(*first, 0, root, "3 seconds")) == {"late": (None, "A", "late_label")}
+    second = frame([("late", "a1", "a2", 1.0, at(4)), ("q", "a1", "a2", 1.0, at(50))], PAYMENT), frame([("q", "A", None, at(51))], LABEL)
+    got = outcome(L.match_micro_batch(*second, 1, root, "3 seconds"))
+    assert got == {"late": (False, None, "timed_out"), "q": (True, "A", "matched")}
+
+
+def test_one_silent_side_decides_nothing(frame, tmp_path):
+    root, none = str(tmp_path / "waiting"), frame([], LABEL)
+    payments = frame(PAYMENTS, PAYMENT)
+    assert outcome(L.match_micro_batch(payments, none, 0, root, "3 seconds")) == {"no_time": (False, None, "timed_out")}
+    empty = L.match_micro_batch(frame([], PAYMENT), none, 1, root, "3 seconds")
+    assert empty.isEmpty()
+    last = frame([("z", "A", None, at(500))], LABEL)
+    got = outcome(L.match_micro_batch(frame([("end", None, None, None, at(500))], PAYMENT), last, 2, root, "3 seconds"))
+    assert got == {k: (False, None, "timed_out") for k in WANT if k != "no_time"}

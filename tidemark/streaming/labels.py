@@ -3,17 +3,21 @@
 The earliest label that comes no later than ``timeout`` after its payment makes
 the payment fraud; a payment without one becomes not fraud when the timeout has
 passed. Every other label, further ones of the payment too, is late and changes
-nothing. Time is
-event time, so a rerun gives the same result, and the waiting payments live in
-the checkpointed state store.
+nothing. Time is event time, so a rerun gives the same result. The waiting payments
+lie in files beside the checkpoint (``waiting``), not in a state store.
 """
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.operators.skew import replicate
+from tidemark.streaming import waiting
 from tidemark.streaming.layers import _trigger, append_micro_batch, run_of
+from tidemark.streaming.waiting import DUE
 
 MATCHED, TIMED_OUT, LATE = "matched", "timed_out", "late_label"
 ENRICHED = ("src_opening_date", "dest_opening_date", "src_risk_flag", "dest_risk_flag")
@@ -78,68 +82,96 @@ def _label_side(labels: DataFrame) -> DataFrame:
 LABEL = ("label_ts", "fraud_type", "fraud_reported_date")
 
 
-def match_labels(payments: DataFrame, labels: DataFrame, timeout: str, delay: str = "0 seconds") -> DataFrame:
-    """Streams of payments and labels to final records, with ``outcome`` telling the case.
+def _waiting_schema(columns: T.StructType) -> T.StructType:
+    return T.StructType([*columns.fields, T.StructField(DUE, T.LongType())])
 
-    Equal payments are counted, meet their labels in time in an outer join with
-    watermarks, and the least label is kept until no earlier one can come; then each
-    copy gets a record. On the late side equal labels are counted and joined to the
-    moments of payments whose earliest label they are; what is not used there is
-    late. No state holds a list. Both sides may be out of order by ``delay``. The
-    last payments wait until the watermark moves on: later events, or a closing event
-    far ahead on both sides, release them. Rows without a time cannot meet a partner
-    and would wait for ever, so they pass beside the joins.
+
+def _key_schema(payments: T.StructType) -> T.StructType:
+    return _waiting_schema(T.StructType([payments["payment_id"], payments["timestamp"]]))
+
+
+def match_micro_batch(
+    payments: DataFrame, labels: DataFrame, epoch: int, root: str, timeout: str, delay: str = "0 seconds", fan: int = 16
+) -> DataFrame:
+    """Final records that one micro-batch brings; what still waits is kept below ``root``.
+
+    The watermark is the lesser of both sides' greatest moments, less ``delay``.
+    Payments and labels before it are complete, so
+
+    - a label before it is decided: of the payments that wait for it, those whose
+      earliest label it is are matched; if it is used by none (of equal labels, by
+      fewer than there are), it is late;
+    - a payment whose deadline lies before it and that has no label has timed out;
+    - other labels are kept until the next micro-batch, other payments are written
+      once (``waiting``); keys of payments matched later are written beside them.
+
+    A payment or label that comes later than ``delay`` is not lost: it meets what
+    still waits. Rows without a time pass at once. A retry gives the same records.
     """
-    timed = payments.filter("timestamp is not null").withWatermark("timestamp", delay)
-    stamped = labels.filter("label_ts is not null").withWatermark("label_ts", delay)
-    side = _label_side(stamped)
-    label = F.when(F.col("_label_payment").isNotNull(), F.struct(*LABEL))
-    finals = (
-        timed.groupBy(*payments.columns)
-        .agg(F.count("*").alias("_copies"))
-        .join(side, _in_time(timeout), "left")
-        .groupBy(*payments.columns, "_copies")
-        .agg(F.min(label).alias("_label"))
-    )
-    finals = _restored(finals).select(
-        *payments.columns,
-        F.when(F.col("_label").isNotNull(), F.col("payment_id")).alias("_label_payment"),
-        "_label.fraud_type",
-        "_label.fraud_reported_date",
-    )
-    late = _restored(_unused_labels(timed, stamped, side, timeout)).select("_label_payment", "fraud_type", "fraud_reported_date")
+    spark = payments.sparkSession
+    before = waiting.read_ledger(spark, root, epoch - 1)
+    waiting.remove_unused(spark, root, epoch, before)
+    after = waiting.Ledger(dict(before.seen), before.watermark, {k: list(s) for k, s in before.segments.items()})
+    moments = [
+        df.select(F.lit(side).alias("side"), F.col(moment).cast("timestamp").alias("at"))
+        for side, df, moment in (("payments", payments, "timestamp"), ("labels", labels, "label_ts"))
+    ]
+    latest = F.unix_micros(F.max("at") - F.expr(f"interval {delay}")).alias("latest")
+    for side, moment in moments[0].unionByName(moments[1]).filter("at is not null").groupBy("side").agg(latest).collect():
+        after.seen[side] = max(moment, after.seen.get(side, moment))
+    if len(after.seen) == 2:
+        after.watermark = max(before.watermark, min(after.seen.values()))
+    reached = F.lit(after.watermark)
+
+    label_at = F.unix_micros(F.col("label_ts").cast("timestamp"))
+    side = _label_side(labels.filter("label_ts is not null"))
+    kept = waiting.read_segments(spark, after.segments.pop("labels", []), _waiting_schema(side.schema))
+    known = side.withColumn(DUE, label_at).unionByName(kept)
+    later = waiting.add_segment(known.filter(F.col(DUE) >= reached), root, "labels", epoch, after)
+    ready = known.filter(F.col(DUE) < reached).groupBy("_label_payment", *LABEL).agg(F.count("*").alias("_n"))
+
+    due = F.unix_micros((F.col("timestamp") + F.expr(f"interval {timeout}")).cast("timestamp"))
+    fresh = payments.filter("timestamp is not null").withColumn(DUE, due)
+    schema, keys = _waiting_schema(payments.schema), _key_schema(payments.schema)
+    stored = waiting.read_segments(spark, before.segments.get("payments", []), schema)
+    settled = waiting.read_segments(spark, before.segments.get("settled", []), keys).select("payment_id", "timestamp")
+    open_rows = fresh.unionByName(stored.filter(F.col(DUE) >= before.watermark))
+
+    moments = open_rows.select("payment_id", "timestamp", DUE)
+    earliest = F.min(F.struct(*LABEL)).alias("_label")
+    found = moments.join(ready, _in_time(timeout)).groupBy("payment_id", "timestamp", DUE).agg(earliest)
+    found = waiting.stored_at(found.join(settled, ["payment_id", "timestamp"], "left_anti"), f"{root}/found/{epoch}")
+    named = found.select(
+        F.col("payment_id").alias("_label_payment"), F.col("timestamp").alias("_label_at"), "_label.*"
+    ).withColumnRenamed("label_ts", "_label_ts")
+    same = (F.col("payment_id") == F.col("_label_payment")) & (F.col("timestamp") == F.col("_label_at"))
+    done = F.col("_label_payment").isNotNull()
+    finals = open_rows.join(named, same, "left").filter(done | (F.col(DUE) < reached))
+    finals = finals.join(settled, ["payment_id", "timestamp"], "left_anti")
+
+    uses = found.groupBy("payment_id", "_label").agg(F.count("*").alias("_uses"))
+    uses = uses.select(F.col("payment_id").alias("_used_id"), "_label", "_uses")
+    used = F.col("_label_payment").eqNullSafe(F.col("_used_id")) & F.struct(*LABEL).eqNullSafe(F.col("_label"))
+    late = ready.join(uses, used, "left").withColumn("_copies", F.col("_n") - F.coalesce("_uses", F.lit(0)))
+    late = late.filter("_copies > 0").select("_label_payment", "fraud_type", "fraud_reported_date", "_copies")
     absent = {f.name: F.lit(None).cast(f.dataType) for f in payments.schema}
-    late = _final_records(late.withColumns(absent), payments.columns)
-    finals = _final_records(finals, payments.columns)
-    return finals.unionByName(late).unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
-
-
-def _restored(counted: DataFrame) -> DataFrame:
-    """A row for each of ``_copies``."""
-    each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return counted.withColumn("_copy", each).drop("_copy", "_copies")
-
-
-def _unused_labels(timed: DataFrame, stamped: DataFrame, side: DataFrame, timeout: str) -> DataFrame:
-    """Streamed labels with ``_copies``: how many of them are no payment's earliest."""
-    used = (
-        timed.groupBy("payment_id", "timestamp")
-        .agg(F.count("*").alias("_n"))
-        .join(side, _in_time(timeout))
-        .groupBy("payment_id", "timestamp")
-        .agg(F.min(F.struct(*LABEL)).alias("_label"))
-        .select(F.col("payment_id").alias("_used_id"), "timestamp", *(F.col(f"_label.{c}").alias(f"_used_{c}") for c in LABEL))
+    late = replicate(late, "_copies").withColumns(absent)
+
+    # What is neither final nor stored yet waits from now on; only payments that waited need a note that they are done.
+    waits = fresh.filter(F.col(DUE) >= reached).join(found, ["payment_id", "timestamp"], "left_anti")
+    waiting.add_segment(waits.select(*schema.names), root, "payments", epoch, after)
+    waiting.add_segment(found.select(*keys.names), root, "settled", epoch, after)
+    waiting.retire(after)
+    noted = waiting.read_segments(spark, after.segments.get("settled", []), keys).select("payment_id", "timestamp")
+    merge = dict(epoch=epoch, ledger=after, fan=fan)
+    waiting.merge_segments(
+        spark, root, "payments", schema, still_needed=lambda rows: rows.join(noted, ["payment_id", "timestamp"], "left_anti"), **merge
     )
-    # A stream has one watermark column; the label's moment here is a plain value.
-    used = used.withColumn("_used_label_ts", F.timestamp_micros(F.unix_micros("_used_label_ts")))
-    counted = _label_side(stamped).groupBy("_label_payment", *LABEL).agg(F.count("*").alias("_n"))
-    same = (F.col("_label_payment") == F.col("_used_id")) & (F.col("label_ts") == F.col("_used_label_ts"))
-    for c in LABEL[1:]:
-        same = same & F.col(c).eqNullSafe(F.col(f"_used_{c}"))
-    limit = F.col("timestamp") + F.expr(f"interval {timeout}")
-    same = same & (F.col("label_ts") >= F.col("timestamp")) & (F.col("label_ts") <= limit)
-    uses = counted.join(used, same, "left").groupBy("_label_payment", *LABEL, "_n").agg(F.count("_used_id").alias("_uses"))
-    return uses.withColumn("_copies", F.col("_n") - F.col("_uses")).filter("_copies > 0")
+    waiting.merge_segments(spark, root, "settled", keys, still_needed=lambda rows: rows, **merge)
+    waiting.write_ledger(spark, root, epoch, before, after)
+
+    parts = [_final_records(df, payments.columns) for df in (finals, late)]
+    return parts[0].unionByName(parts[1]).unionByName(_untimed_payments(payments)).unionByName(_untimed_labels(labels, payments))
 
 
 def _untimed_payments(payments: DataFrame) -> DataFrame:
@@ -181,14 +213,34 @@ def start_label_matching(
     checkpoint: str,
     delay: str = "0 seconds",
     interval: str | None = "1 minute",
+    fan: int = 16,
 ):
-    """Final records into a Parquet folder partitioned by outcome, late labels beside the others."""
+    """Final records into a Parquet folder partitioned by outcome, late labels beside the others.
+
+    Both sides may be out of order by ``delay``. The last payments wait until the
+    watermark moves on: later events, or a closing event far ahead on both sides,
+    release them.
+    """
+    run = run_of(payments.sparkSession, checkpoint)
+    sides = {"payment": payments, "label": labels}
+    absent = {name: F.lit(None).cast(df.schema).alias(name) for name, df in sides.items()}
+    tagged = [
+        df.select(*(F.struct(*df.columns).alias(n) if n == name else absent[n] for n in sides)) for name, df in sides.items()
+    ]
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            of = {name: batch.filter(F.col(name).isNotNull()).select(f"{name}.*") for name in sides}
+            final = match_micro_batch(of["payment"], of["label"], epoch, f"{checkpoint}/waiting", timeout, delay, fan)
+            append_micro_batch(final, epoch, path, run, ["outcome"])
+        finally:
+            batch.unpersist()
+
     return (
-        match_labels(payments, labels, timeout, delay)
-        .writeStream.format("parquet")
-        .partitionBy("outcome")
-        .outputMode("append")
-        .option("path", path)
+        tagged[0]
+        .unionByName(tagged[1])
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
         .start()

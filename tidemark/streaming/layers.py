@@ -28,13 +28,13 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
         return run
 
 
-def append_micro_batch(batch: DataFrame, epoch: int, path: str, run: str) -> None:
+def append_micro_batch(batch: DataFrame, epoch: int, path: str, run: str, partition_by=()) -> None:
     """Add one micro-batch to a Parquet layer.
 
     The batch has its own partition folder and overwrites it, so a retry after a
     failure does not add rows twice.
     """
-    batch.write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{EPOCH}={epoch}")
+    batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{RUN}={run}/{EPOCH}={epoch}")
 
 
 def write_layers(batch: DataFrame, epoch: int, bronze: str, silver: str, run: str) -> None:
