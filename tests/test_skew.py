@@ -113,7 +113,7 @@ def _history(rng, key, versions, overlap=False):
 def _matches(facts, history):
     out = Counter()
     for k, t in facts:
-        hits = [f for h, a, b, f in history if h == k and k is not None and a <= t and (b is None or t < b)]
+        hits = [f for h, a, b, f in history if h == k and k is not None and t is not None and a <= t and (b is None or t < b)]
         for f in hits or [None]:
             out[(k, t, f)] += 1
     return out
@@ -146,6 +146,39 @@ def test_long_histories_do_not_pair_everything(spark, frame):
     assert largest < 80 and total < 2 * 2000
 
 
+@pytest.mark.parametrize("overlap", [False, True])
+def test_swept_histories_match_brute_force(spark, frame, overlap):
+    """One key with far too many versions for its slices, one that overlaps, short ones; ties and repeated facts."""
+    rng = random.Random(5)
+    history = _history(rng, "hot", 300) + _history(rng, "other", 200, overlap) + _history(rng, "cold", 2)
+    history += [("hot", START + timedelta(minutes=9), START + timedelta(minutes=9), True), ("hot", None, None, True)]  # never valid
+    keys = ["hot", "hot", "hot", "other", "cold", "none", None]
+    facts = [(rng.choice(keys), START + timedelta(minutes=rng.randrange(-50, 9000))) for _ in range(500)]
+    facts += [("hot", h[1]) for h in history[:60]] + [("hot", START)] * 40 + [("hot", None), ("other", None)]
+    left = frame(facts, "k string, t timestamp_ntz")
+    right = frame(history, "hk string, a timestamp_ntz, b timestamp_ntz, f boolean")
+    index = asof.index_versions(right, "hk", "a", "b", ["f"], long_history=8, most_slices=4)
+    assert {r[0] for r in index.swept_keys.collect()} == ({"hot"} if overlap else {"hot", "other"})
+    assert index.versions.filter("_key = 'hot' and _from < _to").isEmpty()
+    joined = asof.asof_join(left, index, "k", "t", {"f": "flag"})
+    assert joined.columns == ["k", "t", "flag"]
+    assert Counter(tuple(r) for r in joined.collect()) == _matches(facts, [h for h in history if h[1] is not None])
+
+
+def test_a_swept_key_is_dealt_over_blocks(spark, frame, monkeypatch):
+    """Facts of one key and one moment are dealt too; each version stands in one place."""
+    placed = []
+    monkeypatch.setattr(asof, "in_blocks", lambda *given: placed.append(skew.in_blocks(*given)) or placed[-1])
+    history = _history(random.Random(1), "hot", 400)
+    right = frame(history, "hk string, a timestamp_ntz, b timestamp_ntz, f boolean")
+    index = asof.index_versions(right, "hk", "a", "b", ["f"], long_history=8, most_slices=4)
+    left = spark.range(0, 20_000, 1, 4).select(F.lit("hot").alias("k"), F.lit(history[200][1]).cast("timestamp_ntz").alias("t"), "id")
+    joined = asof.asof_join(left, index, "k", "t", {"f": "flag"})
+    assert joined.filter(F.col("flag") == F.lit(history[200][3])).select("id").distinct().count() == joined.count() == 20_000
+    per_block = [r[0] for r in placed[0].groupBy("_block").count().select("count").collect()]
+    assert sum(per_block) == 20_400 and max(per_block) < 20_400 / 4
+
+
 def test_known_version_bound_needs_no_count(frame, monkeypatch):
     right = frame([("a", START, None, True)], "hk string, a timestamp_ntz, b timestamp_ntz, f boolean")
     monkeypatch.setattr(asof, "staged", None)
