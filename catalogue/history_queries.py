@@ -4,13 +4,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from catalogue.quality_queries import suite_sql
 from catalogue.registry import query
 from catalogue.views import LOADS
 from tidemark.operators import history as H
 from tidemark.operators.relational import deduplicate
 from tidemark.plans import batch, mart, risk, staging
 from tidemark.plans.risk import RISK_RULES
-from tidemark.session import shared_folder, staged
+from tidemark.schemas import LANDED_FILES
+from tidemark.session import fresh_folder, shared_folder, staged
 
 
 @query("stg_payments", "select payment_id, source_account_id, destination_account_id, payment_reference, amount, payment_timestamp from payments", "payments")
@@ -117,9 +119,7 @@ def date_range_rebuild(v):
     return batch.date_range_rebuild(v.spark, table, v.mart, "1997-01-01", "1998-01-01", "month").drop(batch.PERIOD)
 
 
-@query(
-    "batch_run",
-    """select p.payment_id, p.source_account_id, p.destination_account_id, p.amount, p.payment_timestamp as timestamp,
+_BATCH_MART = """select p.payment_id, p.source_account_id, p.destination_account_id, p.amount, p.payment_timestamp as timestamp,
          sa.opening_date as source_opening_date, da.opening_date as destination_opening_date,
          coalesce(sr.risk_score > 70, false) as source_risk_flag, coalesce(dr.risk_score > 70, false) as destination_risk_flag,
          f.fraud_type is not null as is_fraud_flag, f.fraud_type, f.fraud_reported_date
@@ -128,19 +128,32 @@ def date_range_rebuild(v):
        left join accounts da on p.destination_account_id = da.account_id
        left join risk_feed_v1 sr on p.source_account_id = sr.account_id and p.payment_timestamp >= timestamp '1990-01-01'
        left join risk_feed_v1 dr on p.destination_account_id = dr.account_id and p.payment_timestamp >= timestamp '1990-01-01'
-       left join fraud_cases f on p.payment_id = f.payment_id""",
-    "payments accounts risk_feed_v1 fraud_cases",
-)
-def batch_run(v):
-    raw = {
-        "raw_payments": v.payments,
-        "raw_accounts": v.accounts,
-        "raw_risk_feed": v.risk_feed_v1,
-        "raw_fraud_cases": v.fraud_cases,
-    }
+       left join fraud_cases f on p.payment_id = f.payment_id"""
+_BATCH_VIEWS = "payments accounts risk_feed_v1 fraud_cases"
+
+
+def _whole_batch(v):
+    """The raw tables land as CSV files and go through the whole run; the prefix of its tables."""
+    folder = fresh_folder(v.spark, "landed")
+    sources = {"raw_payments": v.payments, "raw_accounts": v.accounts, "raw_risk_feed": v.risk_feed_v1, "raw_fraud_cases": v.fraud_cases}
+    for file_name, (table, schema) in LANDED_FILES.items():
+        sources[table].select(*schema.names).write.option("header", "true").csv(f"{folder}/{file_name}")
     prefix = f"tm_{uuid.uuid4().hex}_"
+    raw = batch.load_raw(v.spark, folder, prefix, shared_folder(v.spark))
     batch.run_batch(v.spark, raw, "1990-01-01 00:00:00", prefix, folder=shared_folder(v.spark))
-    return v.spark.table(prefix + batch.MART)
+    return prefix
+
+
+@query("batch_run", _BATCH_MART, _BATCH_VIEWS)
+def batch_run(v):
+    mart_ = v.spark.table(_whole_batch(v) + batch.MART)
+    return mart_.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query("batch_report", f"with mart as ({_BATCH_MART}) {suite_sql('risk_feed_v1')}", _BATCH_VIEWS)
+def batch_report(v):
+    """The report that the whole run stores."""
+    return v.spark.table(_whole_batch(v) + batch.REPORT)
 
 
 # --- history ------------------------------------------------------------------------

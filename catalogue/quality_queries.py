@@ -310,13 +310,14 @@ _SUITE = [
 ]
 
 
-@query(
-    "test_suite",
-    """select *, case when failures <> 0 and severity = 'warn' then 'warn' when failures <> 0 then 'error' else 'pass' end as status from ("""
-    + " union all ".join(f"select '{t}' as table_name, '{n}' as test_name, '{s}' as severity, ({q}) as failures" for t, n, s, q in _SUITE)
-    + ") r",
-    "mart risk_feed_v2",
-)
+def suite_sql(risk_feed: str) -> str:
+    """The report of all declared tests, given the mart and the staged tables as views."""
+    counted = [f"select '{t}' as table_name, '{n}' as test_name, '{s}' as severity, ({q}) as failures" for t, n, s, q in _SUITE]
+    status = "case when failures <> 0 and severity = 'warn' then 'warn' when failures <> 0 then 'error' else 'pass' end as status"
+    return f"select *, {status} from ({' union all '.join(counted)}) r".replace("risk_feed_v2", risk_feed)
+
+
+@query("test_suite", suite_sql("risk_feed_v2"), "mart risk_feed_v2")
 def test_suite(v):
     tables = {
         checks.MART: staged(v.spark, "mart")(v.mart()),

@@ -197,6 +197,27 @@ def test_keyed_strategies_rewrite_only_touched_partitions(spark, frame):
         assert "d2" not in after
 
 
+def test_overwrite_with_predicates_rewrites_only_touched_partitions(spark, frame):
+    schema = "k int, v string, day string"
+    first = frame([(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d2"), (4, "d", "d3"), (6, "f", None), (7, "g", "d4")], schema)
+    later = frame([(9, "n", "d4"), (10, "n", None)], schema)
+
+    def build(current):
+        return first if current is None else later
+
+    def run():
+        options = dict(partition_by=["day"], predicates=["k >= 3", "k < 5"])
+        return run_incremental(spark, "over_parts", build, "insert_overwrite", **options)
+
+    run()
+    files = {r.day: r.f for r in spark.table("over_parts").select("day", F.input_file_name().alias("f")).collect()}
+    got = run()
+    want = [(1, "a", "d1"), (2, "b", "d2"), (6, "f", None), (7, "g", "d4"), (9, "n", "d4"), (10, "n", None)]
+    assert rows(got.select("k", "v", "day")) == sorted(want, key=lambda r: (False, str(r[0])))
+    after = {r.day: r.f for r in got.select("day", F.input_file_name().alias("f")).collect()}
+    assert after["d1"] == files["d1"] and after["d2"] != files["d2"] and "d3" not in after
+
+
 def test_many_partitions_are_rewritten_one_by_one(spark):
     def days(first, count, tag):
         return spark.range(first, first + count).selectExpr("id as k", f"'{tag}' as v", "concat('d', id) as day")

@@ -19,11 +19,15 @@ def _keys(unique_key) -> list[str]:
     return [unique_key] if isinstance(unique_key, str) else list(unique_key)
 
 
+def all_hold(predicates):
+    return F.expr(" and ".join(f"({p})" for p in predicates))
+
+
 def _split(target: DataFrame, predicates):
     """Target rows the predicates hold for, and all others (null counts as not held)."""
     if not predicates:
         return target, None
-    holds = F.expr(" and ".join(f"({p})" for p in predicates))
+    holds = all_hold(predicates)
     return target.filter(holds), target.filter(~F.coalesce(holds, F.lit(False)))
 
 

@@ -166,7 +166,8 @@ def run_incremental(
 
     ``build`` gets the current table, or None when it builds from scratch. An
     append writes only the batch. On a partitioned table the keyed strategies
-    rewrite only the partitions that hold a key of the batch or receive its rows.
+    rewrite only the partitions that hold a key of the batch or receive its rows;
+    an overwrite with predicates those that hold a row to be replaced or receive one.
     """
     if full_refresh or not table_exists(spark, table):
         return materialize_table(build(None), table, partition_by, folder)
@@ -187,6 +188,12 @@ def run_incremental(
         reached = _in_partitions(current, touched)
         result = incremental.apply_strategy(reached, batch, strategy, unique_key, columns, **options)
         return replace_partitions(staged(spark, "rewritten")(result), table, touched)
+    if partition_by and unchanged and strategy == "insert_overwrite" and options.get("predicates"):
+        replaced = current.filter(incremental.all_hold(options["predicates"]))
+        touched = replaced.select(*partition_by).unionByName(batch.select(*partition_by)).distinct()
+        touched = staged(spark, "touched")(touched)
+        result = incremental.insert_overwrite(_in_partitions(current, touched), batch, columns=columns, **options)
+        return replace_partitions(staged(spark, "rewritten")(result), table, touched)
     result = incremental.apply_strategy(target, batch, strategy, unique_key, columns, **options)
     return materialize_table(result, table, partition_by, folder)
 
