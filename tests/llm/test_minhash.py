@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from tidemark.llm import minhash, queries
+from tidemark.llm import graph, minhash, queries, runtime
 
 from .conftest import AWKWARD, SMALL
 
@@ -103,3 +103,26 @@ def test_minima_estimate_the_overlap():
         overlap = common / (4_000 - common)
         assert abs((a == b).mean() - overlap) < 0.15
     assert settings.least_agreement < 0.75 * settings.minima
+
+
+def linked_numbers(spark, rows):
+    return spark.createDataFrame(rows, "a long, b long").repartition(3)
+
+
+def test_roots_take_few_rounds(llm_spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(graph, "stored", lambda df, purpose: steps.append(purpose) or runtime.stored(df, purpose))
+    stars = [(1, k) for k in range(2, 40)] + [(50, 60), (60, 50), (50, 70), (80, 80)]
+    want = {**{k: 1 for k in range(1, 40)}, **dict.fromkeys((50, 60, 70), 50)}
+    assert {(r.node, r.root) for r in graph.components(linked_numbers(llm_spark, stars)).collect()} == set(want.items())
+    assert steps == ["links", "least"]  # stars are seen as such; another round would write four tables more
+    path = [(k, k + 1) for k in range(1, 33)] + [(40, 41)]
+    steps.clear()
+    roots = graph.tree_roots(linked_numbers(llm_spark, path))
+    assert sorted(tuple(r) for r in roots.collect()) == [*((k, 1) for k in range(1, 34)), (40, 40), (41, 40)]
+    assert len(steps) <= 7
+    further = graph.joined_roots(roots, linked_numbers(llm_spark, [(40, 1), (100, 40), (101, 102)]))
+    want = {**{k: 1 for k in range(1, 34)}, 40: 1, 41: 1, 100: 1, 101: 101, 102: 101}
+    assert sorted(tuple(r) for r in further.collect()) == sorted(want.items())
+    for find in (graph.components, graph.tree_roots):
+        assert find(linked_numbers(llm_spark, path).limit(0)).count() == 0

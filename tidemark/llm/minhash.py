@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.graph import components
+from tidemark.llm.graph import components, joined_roots, tree_roots
 from tidemark.llm.runtime import forget, stored, utf8
 
 # Most text keys (24 bytes each) that are broadcast.
@@ -270,7 +270,8 @@ def families(shared: DataFrame, sets: DataFrame, roots: DataFrame, settings: Set
 
 
 def _index_block(settings: Settings):
-    """Links between the sets of a block and those that are met with it, as a forest.
+    """Links between the sets of a block and those that are met with it, as a forest of
+    their roots.
 
     Rows are sorted by family and block, the block's own sets first.
     """
@@ -278,11 +279,10 @@ def _index_block(settings: Settings):
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for _, run in groupby(_rows(batches), key=lambda row: row[:2]):
-            nodes, roots, own, index, forest, found = [], [], [], None, Forest(), []
-            for _, _, visitor, node, root, text in run:
+            roots, own, index, forest, found = [], [], None, Forest(), []
+            for _, _, visitor, _, root, text in run:
                 words = shingles(text, settings.words)
                 if not visitor:
-                    nodes.append(node)
                     roots.append(root)
                     own.append(words)
                     continue
@@ -291,7 +291,7 @@ def _index_block(settings: Settings):
                 linked = 100 * common >= settings.percent * (index[2] + len(words) - common)
                 for k in np.flatnonzero(linked).tolist():
                     if forest.join(root, roots[k]):
-                        found.append((node, nodes[k]))
+                        found.append((root, roots[k]))
             if found:
                 yield _batch(found)
 
@@ -316,7 +316,7 @@ def _common(index, words: np.ndarray, count: int) -> np.ndarray:
 
 
 def family_links(members: DataFrame, sizes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Links between the components of each family that its full sets show."""
+    """Links between the roots of each family that its full sets show."""
     members = stored(members.join(sizes, "node"), "family-members")
     counts = members.groupBy("family", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
     largest = F.max(F.struct("n", "root"))["root"].alias("largest")
@@ -391,17 +391,17 @@ def links(sets: DataFrame, texts_of: Callable[[DataFrame], DataFrame], settings:
     # Each set's most alike partner first: that settles most pairs without a trial.
     best = F.max(F.struct("alike", (-F.col("a")).alias("order"), F.col("a"))).alias("best")
     tried = stored(pairs.groupBy("b").agg(best).select(F.col("best.a").alias("a"), "b"), "leading-pairs")
-    found = stored(confirmed(tried, texts, settings), "links")
-    roots = components(found)
-    rest = stored(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots).select("a", "b"), "open-pairs")
+    roots = tree_roots(stored(confirmed(tried, texts, settings), "links"))
+    columns = ["a", "b", "root_a", "root_b"]
+    rest = stored(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots).select(*columns), "open-pairs")
     if not rest.isEmpty():
-        found = stored(found.unionByName(confirmed(rest, texts, settings)), "links")
-        roots = components(found)
+        found = confirmed(rest.select("a", "b"), texts, settings).join(rest, ["a", "b"])
+        roots = joined_roots(roots, found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
     members = stored(families(shared, sets, roots, settings), "families")
     if not members.isEmpty():
         texts = texts_of(members.select(F.col("node").alias("a"), F.col("node").alias("b")))
         more = family_links(members, sets.select("node", "n_shingles"), texts, settings)
-        roots = components(stored(found.unionByName(more), "links"))
+        roots = joined_roots(roots, more)
     return roots
 
 
