@@ -299,6 +299,46 @@ def test_recent_activity_stream_equals_the_batch(spark, tmp_path):
     assert found.filter("key = 'hot'").agg(F.sum("n_rows")).first()[0] == sum(e[0] == "hot" for part in parts for e in part)
 
 
+class Held:
+    """The state of one group, as Spark hands it to a step."""
+
+    exists, get, hasTimedOut, watermark = False, None, False, 0
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def remove(self):
+        self.exists, self.get = False, None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def setTimeoutTimestamp(self, moment):
+        assert moment >= self.watermark
+
+
+def test_one_step_answers_all_keys_of_a_bucket():
+    import pandas as pd
+
+    from tidemark.streaming.activity import _trailing
+
+    step, state = _trailing(300), Held()
+
+    def run(watermark, *events):
+        state.watermark, state.hasTimedOut = watermark * 1_000, not events
+        frames = [pd.DataFrame([e], columns=["key", "at", "n", "valued", "cents"]) for e in events]
+        found = [tuple(r) for f in step((0,), iter(frames), state) for r in f.astype(object).itertuples(index=False)]
+        return sorted((*r[:4], None if r[4] is pd.NA else r[4]) for r in found)
+
+    assert run(0, ("b", 100, 2, 1, 5), ("a", 100, 1, 1, 7), ("a", 100, 1, 0, 0), ("c", 90, 1, 0, 0)) == []
+    assert run(150, ("a", 700, 1, 1, 1), ("b", 120, 9, 9, 9)) == [("a", 100, 2, 2, 7), ("b", 100, 2, 2, 5), ("c", 90, 1, 1, None)]
+    # An earlier second comes within the delay: it still sees the hour before it.
+    assert run(150, ("a", 160, 1, 1, 2), ("d", 160, 1, 1, 4)) == []
+    assert run(200) == [("a", 160, 1, 3, 9), ("d", 160, 1, 1, 4)]
+    assert run(800) == [("a", 700, 1, 1, 1)]
+    assert run(5_000) == [] and not state.exists
+
+
 def test_quarantine_keeps_every_message_once(spark, feed, tmp_path):
     from tidemark.streaming import quarantine as Q
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-STATE = "answered long, at array<long>, n array<long>, valued array<long>, cents array<long>"
 RESULT = "at long, n_rows long, n_recent long, cents_recent long"
 SUMS = ["n", "valued", "cents"]
 
@@ -20,52 +19,65 @@ def _per_second(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _trailing(seconds: int):
-    """Sums over the last ``seconds`` for every second of one key that has closed.
+    """Sums over the last ``seconds`` for every second that has closed, for all keys of
+    a bucket at once.
 
     The state holds the sums of the seconds that are still open and of the last
-    ``seconds`` before the first of them; older ones leave it. It goes altogether once
-    the watermark has left all behind.
+    ``seconds`` before the watermark, each with the place of its key in ``names``; older
+    ones leave it. It goes altogether once the watermark has left all behind.
     """
 
-    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        answered, *held = state.get if state.exists else (-(1 << 62), [], [], [], [])
-        known = pd.DataFrame(dict(zip(["at", *SUMS], held)), dtype="int64")
+    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        answered, known = -(1 << 62), None
+        if state.exists:
+            answered, names, whose, *held = state.get
+            known = pd.DataFrame(dict(zip(["at", *SUMS], held)), dtype="int64")
+            known.insert(0, "key", pd.Series(names)[whose].to_numpy())
         watermark = state.getCurrentWatermarkMs()
         closed = watermark // 1_000 - 1  # the last second that the watermark has passed
         if not state.hasTimedOut:
-            new = pd.concat(list(frames))[["at", *SUMS]]
-            known = pd.concat([known, new[new["at"] > closed]]).groupby("at", as_index=False).sum().sort_values("at")
+            new = pd.concat(list(frames))[["key", "at", *SUMS]]
+            new = new[new["at"] > closed]
+            known = new if known is None else pd.concat([known, new]) if len(new) else known
+            known = known.groupby(["key", "at"], as_index=False).sum()
+        whose = known.groupby("key").ngroup().to_numpy(np.int64)
         at = known["at"].to_numpy(np.int64)
         due = np.flatnonzero((at > answered) & (at <= closed))
         if len(due):
+            # Keys lie one behind the other, too far apart for one's hour to reach another.
+            place = at - at.min()
+            place = place + whose * (place.max() + seconds + 1)
             # The last hour is a difference of two running totals.
-            first = np.searchsorted(at, at[due] - seconds)
+            first = np.searchsorted(place, place[due] - seconds)
             totals = [np.concatenate([[0], np.cumsum(known[c].to_numpy(np.int64))]) for c in SUMS]
             n, valued, cents = (t[due + 1] - t[first] for t in totals)
-            result = pd.DataFrame({"at": at[due], "n_rows": known["n"].to_numpy(np.int64)[due], "n_recent": n})
+            result = pd.DataFrame({"key": known["key"].to_numpy()[due], "at": at[due], "n_rows": known["n"].to_numpy(np.int64)[due], "n_recent": n})
             result["cents_recent"] = pd.Series(cents, dtype="Int64").where(valued > 0)
-            result.insert(0, "key", key[0])
             yield result
-        waiting = at[at > closed]
-        known = known[at > (waiting[0] if len(waiting) else closed) - seconds - 1]
+        # An open second without events so far may get some and look back as well.
+        known = known[at > closed - seconds]
         if not len(known):
             state.remove()
             return
-        state.update((max(answered, closed), *(known[c].tolist() for c in ["at", *SUMS])))
-        until = (waiting[0] + 1) * 1_000 - 1 if len(waiting) else (int(known["at"].max()) + seconds + 2) * 1_000
+        whose, names = pd.factorize(known["key"])
+        state.update((max(answered, closed), names.tolist(), whose.tolist(), *(known[c].tolist() for c in ["at", *SUMS])))
+        waiting = known["at"][known["at"] > closed]
+        until = (waiting.min() + 1) * 1_000 - 1 if len(waiting) else (known["at"].max() + seconds + 2) * 1_000
         state.setTimeoutTimestamp(int(max(until, watermark)))
 
     return step
 
 
-def recent_activity_stream(events: DataFrame, key: str, moment: str, cents: str, seconds: int = 3_600, delay: str = "10 minutes") -> DataFrame:
+def recent_activity_stream(events: DataFrame, key: str, moment: str, cents: str, seconds: int = 3_600, delay: str = "10 minutes", buckets: int = 256) -> DataFrame:
     """For every key and second with events: their number and, over the last ``seconds``,
     ``n_recent`` and ``cents_recent``, as ``monitoring.recent_activity`` gives them.
 
     Events are added up per key and second inside every batch of rows before the
     shuffle, so a hot key sends few rows; an answer comes once the watermark (``delay``
     behind the latest event) has passed the second. Events later than that are in no
-    count. A key's state has at most one entry a second of ``seconds`` and ``delay``.
+    count. State is kept in ``buckets`` of keys, so Python is called per bucket and not
+    per key; a key has at most one entry a second of ``seconds`` and ``delay`` there. The
+    number of buckets stays fixed for the life of the checkpoint.
     Events without key or moment are ignored.
     """
     at = F.unix_seconds(F.col(moment).cast("timestamp")).alias("at")
@@ -75,8 +87,10 @@ def recent_activity_stream(events: DataFrame, key: str, moment: str, cents: str,
     kind = known.schema["key"].dataType.simpleString()
     sums = known.mapInPandas(_per_second, f"key {kind}, at long, n long, valued long, cents long")
     timed = sums.withColumn("closes", F.timestamp_seconds(F.col("at") + 1)).withWatermark("closes", delay)
-    return timed.groupBy("key").applyInPandasWithState(
-        _trailing(seconds), f"key {kind}, {RESULT}", STATE, "append", GroupStateTimeout.EventTimeTimeout
+    state = f"answered long, names array<{kind}>, whose array<long>, at array<long>, n array<long>, valued array<long>, cents array<long>"
+    dealt = timed.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInPandasWithState(
+        _trailing(seconds), f"key {kind}, {RESULT}", state, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
